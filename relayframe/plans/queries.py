@@ -124,9 +124,9 @@ def export_files(spark, sf_dir):
 
 @query
 def load_save_state(spark, sf_dir):
-    state = fx.node_state(spark, sf_dir)
     path = work_path(spark, "state")
-    state = state.with_tables(jobs=fx.family_jobs(spark, sf_dir), peers=fx.peers(spark, sf_dir))
+    state = fx.node_state(spark, sf_dir).with_tables(
+        jobs=fx.family_jobs(spark, sf_dir), peers=fx.peers(spark, sf_dir))
     store.save_state(state, path)
     saved = store.load_state(spark, path)
     counts = saved.jobs.groupBy("jstate").count().select(
@@ -631,8 +631,9 @@ def notify_receiver(spark, sf_dir):
 
 @query
 def snapshot_diff(spark, sf_dir):
-    before = fx.family_jobs(spark, sf_dir)
-    after = transitions.complete_chunked_parents(before)
+    before = fx.lane_jobs(spark, sf_dir)
+    acks = fx.acks(fx.table(spark, sf_dir, "events"), fx.uid("lane", F.col("event_id")))
+    after = transitions.apply_send_status(before, acks)
     return changes.snapshot_diff(before, after, ["jobid"]).select("jobid", "op", "jstate")
 
 
@@ -698,17 +699,17 @@ def run_tick_connections(spark, sf_dir):
 @query
 def tick_stream(spark, sf_dir):
     path = work_path(spark, "tick")
-    store.save_state(fx.node_state(spark, sf_dir, with_messages=False), f"{path}/state", 0)
-    frames = fx.message_frames(fx.stream(spark, sf_dir, "conversations"))
-    streams.tick_stream(frames, f"{path}/state", f"{path}/checkpoint", lambda: fx.T0,
+    root = fx.new_state_path(spark, sf_dir, "tick-state", with_messages=False)
+    frames = fx.arrived_messages(spark, sf_dir, fx.stored_stream)
+    streams.tick_stream(frames, root, f"{path}/checkpoint", lambda: fx.T0,
                         every=None).awaitTermination()
-    return jobs_out(store.load_state(spark, f"{path}/state").jobs)
+    return jobs_out(store.load_state(spark, root).jobs)
 
 
 @query
 def ingest_stream(spark, sf_dir):
     path = work_path(spark, "ingest")
-    frames = fx.message_frames(fx.stream(spark, sf_dir, "conversations"))
+    frames = fx.arrived_messages(spark, sf_dir, fx.stored_stream)
     jobs = streams.ingest_stream(frames, fx.node(), fx.t0())
     streams.start(jobs, streams.batch_sink(f"{path}/jobs"), f"{path}/checkpoint").awaitTermination()
     return jobs_out(spark.read.parquet(f"{path}/jobs"))
@@ -733,7 +734,7 @@ def lifecycle_stream(spark, sf_dir):
 @query
 def reassembly_stream(spark, sf_dir):
     path = work_path(spark, "reassembly")
-    arrived = fx.chunk_arrivals(fx.stream(spark, sf_dir, "documents"))
+    arrived = fx.arrived_chunks(spark, sf_dir, fx.stored_stream)
     streams.reassembly_stream(arrived.withColumn("arrived_at", fx.t0()), path,
                               f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/messages").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from ..functions import layout as L
 from ..node import Node, NodeState
 from ..operators import framing
 from ..operators.framing import JOB_COLUMNS
-from .state import root_jobs
+from ..session import work_path
+from .state import load_state, root_jobs, save_state
 from .wire import ingest_frames
 
 T0 = datetime(2024, 1, 2, 3, 4, 5, 123456)
@@ -29,6 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_path(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
+    """Writes a derived table once per application and returns its path.
+
+    Frames that arrived are stored data: operators read them from files, and filters on
+    frame fields do not become filters on the expression that once built the frame.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = work_path(spark, name)
+        df.write.parquet(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    return spark.read.schema(df.schema).parquet(stored_path(spark, sf_dir, name, df))
+
+
+def stored_stream(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """A derived table as a file stream."""
+    return spark.readStream.schema(df.schema).parquet(stored_path(spark, sf_dir, name, df))
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a file stream."""
     schema = table(spark, sf_dir, name).schema
@@ -143,11 +171,15 @@ def chunk_arrivals(documents: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def arrived_chunks(spark: SparkSession, sf_dir: str, read=stored) -> DataFrame:
+    arrived = chunk_arrivals(table(spark, sf_dir, "documents"))
+    return read(spark, sf_dir, "chunk-frames", arrived)
+
+
 def received_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as classified jobs (N-4)."""
-    arrived = chunk_arrivals(table(spark, sf_dir, "documents"))
-    rows = ingest_frames(arrived.withColumn("fd", F.lit(9)), node(), t0())
-    return rows.withColumns({
+    arrived = arrived_chunks(spark, sf_dir).withColumn("fd", F.lit(9))
+    return ingest_frames(arrived, node(), t0()).withColumns({
         "jstate": F.lit(L.CLASSIFIED), "jtype": X.frame_type(F.col("jobdata"))})
 
 
@@ -169,8 +201,13 @@ def message_frames(conversations: DataFrame) -> DataFrame:
         F.when(F.col("conv_id") % 7 == 0, damaged).otherwise(frame).alias("jobdata"))
 
 
+def arrived_messages(spark: SparkSession, sf_dir: str, read=stored) -> DataFrame:
+    frames = message_frames(table(spark, sf_dir, "conversations"))
+    return read(spark, sf_dir, "message-frames", frames)
+
+
 def received_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest_frames(message_frames(table(spark, sf_dir, "conversations")), node(), t0())
+    return ingest_frames(arrived_messages(spark, sf_dir), node(), t0())
 
 
 # --- suppliers: negotiating peers -------------------------------------------------
@@ -195,7 +232,8 @@ def handshake_frames(suppliers: DataFrame, kind: str) -> DataFrame:
 
 
 def received_handshakes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    frames = handshake_frames(table(spark, sf_dir, "supplier"), kind)
+    frames = stored(spark, sf_dir, f"handshake-frames-{kind}",
+                    handshake_frames(table(spark, sf_dir, "supplier"), kind))
     return ingest_frames(frames, node(), t0())
 
 
@@ -300,7 +338,8 @@ def family_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         jstate=F.when(F.col("l_orderkey") % 4 == 0, L.READY).otherwise(F.lit(L.COMPLETE)),
         jtype=F.lit(L.TYPE_MANIFEST), jparent_jobid=uid("ord", F.col("l_orderkey")),
         jdestination=F.lit(L.padded("src1")))
-    return parent_rows.unionByName(child_rows).unionByName(manifest_rows)
+    family = parent_rows.unionByName(child_rows).unionByName(manifest_rows)
+    return stored(spark, sf_dir, "family-jobs", family)
 
 
 # --- customers and events ---------------------------------------------------------
@@ -354,7 +393,16 @@ def acks(events: DataFrame, target: Column) -> DataFrame:
 # --- a whole node -----------------------------------------------------------------
 
 def node_state(spark: SparkSession, sf_dir: str, with_messages: bool = True) -> NodeState:
-    """A node in the middle of its work: every kind of row a tick can meet."""
+    """A stored node in the middle of its work: every kind of row a tick can meet."""
+    name = "node-state" if with_messages else "node-state-quiet"
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = new_state_path(spark, sf_dir, name, with_messages)
+    return load_state(spark, _STORED[key])
+
+
+def new_state_path(spark: SparkSession, sf_dir: str, name: str, with_messages: bool) -> str:
+    """Saves that node as version 0 below a new path."""
     parts = [
         root(spark), send_jobs(spark, sf_dir), family_jobs(spark, sf_dir),
         received_handshakes(spark, sf_dir, L.TYPE_REQUEST),
@@ -362,11 +410,11 @@ def node_state(spark: SparkSession, sf_dir: str, with_messages: bool = True) ->
     ]
     if with_messages:
         parts.append(received_messages(spark, sf_dir))
-    jobs = parts[0]
-    for part in parts[1:]:
-        jobs = jobs.unionByName(part)
-    return NodeState(
-        node=node(), jobs=jobs, files=files(spark, sf_dir),
+    state = NodeState(
+        node=node(), jobs=reduce(DataFrame.unionByName, parts), files=files(spark, sf_dir),
         peers=peers(spark, sf_dir).unionByName(supplier_peers(spark, sf_dir, False)),
         out_conns=supplier_conns(spark, sf_dir), in_conns=in_conns(spark, sf_dir),
         commands=commands(spark, sf_dir), capacity_events=capacity_event_rows(spark, sf_dir))
+    path = work_path(spark, name)
+    save_state(state, path, 0)
+    return path
