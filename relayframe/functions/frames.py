@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,7 +13,12 @@ TO_THE_END = 2**31 - 1
 
 
 def as_column(value) -> Column:
-    """Columns stay columns, everything else becomes a literal."""
+    """Columns stay columns, everything else becomes a literal.
+
+    A time without zone is wall time of the session, whatever zone Python runs in.
+    """
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ", timespec="microseconds")).cast("timestamp")
     return value if isinstance(value, Column) else F.lit(value)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..functions.frames import as_column
 from .lookups import join_lookup, latest_by
 
 TIES = ["jcreation_time", "jobid"]
@@ -126,7 +127,7 @@ def ensure_conns(out_conns: DataFrame, jobs: DataFrame, peers: DataFrame, create
         .select(F.col("ipaddress").alias("sipaddr")).distinct()
         .join(out_conns.select("sipaddr"), "sipaddr", "left_anti")
     )
-    created = F.lit(created_at).cast("timestamp").alias("sctime")
+    created = as_column(created_at).cast("timestamp").alias("sctime")
     return out_conns.unionByName(wanted.select(
         F.lit(L.NO_FD).alias("sfd"), "sipaddr", F.lit(L.CONN_WANTED).alias("scstatus"), created))
 
@@ -180,4 +181,4 @@ def upsert_in_conns(in_conns: DataFrame, reports: DataFrame, created_at) -> Data
         "rfd",
         F.coalesce("ripaddr", "_ip").alias("ripaddr"),
         F.coalesce("_status", "rcstatus").cast("int").alias("rcstatus"),
-        F.coalesce("rctime", F.lit(created_at).cast("timestamp")).alias("rctime"))
+        F.coalesce("rctime", as_column(created_at).cast("timestamp")).alias("rctime"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import frames as X
@@ -78,7 +78,8 @@ def incoming_complete(jobs: DataFrame, mode: str = "rows") -> DataFrame:
         matched = matched.filter(
             (F.col("_low") == 0) & (F.col("_high") == F.col("chunk_count") - 1))
     return matched.select(
-        "message_id", "total_bytes", "chunk_count", "source_name", "frame_bytes")
+        "message_id", "total_bytes", "chunk_count", "source_name", "frame_bytes",
+        F.col("_high").alias("last_index"))
 
 
 def missing_chunks(jobs: DataFrame) -> DataFrame:
@@ -122,86 +123,96 @@ def chunks_of_message(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     return kept.dropDuplicates(["message_id", "digest"]).drop("digest")
 
 
-def _joined_bytes(ordered: Column) -> Column:
-    """Ordered pieces (chunk_index, payload) as one binary; one piece per index.
-
-    ``array_join`` appends raw bytes in one pass; casting binary to string and back
-    keeps every byte.
-    """
-    first_of_index = F.filter(
-        ordered,
-        lambda piece, i: (i == 0) | (piece["chunk_index"] != F.get(ordered, i - 1)["chunk_index"]))
-    texts = F.transform(first_of_index, lambda piece: piece["payload"].cast("string"))
-    return F.array_join(texts, "").cast("binary")
-
-
-def message_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Chunks joined into parts of about ``part_bytes``.
+def collect_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Chunks grouped into parts of about ``part_bytes``, in index order, without copies.
 
     The part of a chunk follows from its byte offset, so a message of any length is
     spread over as many groups as it has parts and no group exceeds one part. Copies of
     a chunk are merged before the only shuffle of payloads.
     """
     part = F.floor(F.col("byte_offset") / part_bytes).cast("bigint")
+    ordered = F.col("_ordered")
+    new_index = (lambda piece, i: (i == 0) | (
+        piece["chunk_index"] != F.get(ordered, i - 1)["chunk_index"]))
     return (
         chunks.withColumn("part_no", part)
         .groupBy("message_id", "part_no")
-        .agg(F.min("byte_offset").alias("byte_offset"),
-             F.collect_set(F.struct("chunk_index", "payload")).alias("_pieces"))
-        .withColumn("_pieces", F.array_sort("_pieces"))
-        .select("message_id", "part_no", "byte_offset",
-                _joined_bytes(F.col("_pieces")).alias("content"))
+        .agg(F.collect_set(F.struct("chunk_index", "byte_offset", "payload")).alias("_pieces"))
+        .withColumn("_ordered", F.array_sort("_pieces"))
+        .select("message_id", "part_no", F.filter(ordered, new_index).alias("pieces"))
     )
 
 
-def reassemble(jobs: DataFrame, part_bytes: int = PART_BYTES, mode: str = "distinct") -> DataFrame:
-    """The contents of complete messages: one row per part, one part for most messages.
+def message_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Chunks joined into the bytes of each part.
 
-    Complete messages are listed as (message, part), the key the parts are already
-    partitioned by, so the check does not shuffle payloads again.
+    ``array_join`` appends raw bytes in one pass; casting binary to string and back
+    keeps every byte.
     """
-    chunks = decode_chunk(_classified(jobs)).select(
+    texts = F.transform("pieces", lambda piece: piece["payload"].cast("string"))
+    return collect_parts(chunks, part_bytes).select(
+        "message_id", "part_no", F.col("pieces")[0]["byte_offset"].alias("byte_offset"),
+        F.array_join(texts, "").cast("binary").alias("content"))
+
+
+def _payloads(jobs: DataFrame) -> DataFrame:
+    return decode_chunk(_classified(jobs)).select(
         F.col("parent_id").alias("message_id"), "chunk_index", "byte_offset", "payload")
+
+
+def complete_parts(jobs: DataFrame, part_bytes: int, mode: str) -> DataFrame:
+    """Complete messages as (message, part): the key their parts are partitioned by."""
     step = F.col("frame_bytes") - L.DATA_OVERHEAD
-    last_part = F.floor((F.col("chunk_count") - 1) * step / part_bytes).cast("bigint")
-    complete = (
+    last_part = F.floor(F.col("last_index") * step / part_bytes).cast("bigint")
+    return (
         incoming_complete(jobs, mode)
         .groupBy("message_id").agg(
             F.max("total_bytes").alias("total_bytes"), F.max(last_part).alias("_last"))
         .select("message_id", "total_bytes", (F.col("_last") + 1).alias("n_parts"),
                 F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last"))).alias("part_no"))
     )
-    return message_parts(chunks, part_bytes).join(complete, ["message_id", "part_no"]).select(
+
+
+def reassemble(jobs: DataFrame, part_bytes: int = PART_BYTES, mode: str = "distinct") -> DataFrame:
+    """The contents of complete messages: one row per part, one part for most messages.
+
+    Parts meet the list of complete messages on (message, part), so payloads are
+    shuffled once.
+    """
+    parts = message_parts(_payloads(jobs), part_bytes)
+    return parts.join(complete_parts(jobs, part_bytes, mode), ["message_id", "part_no"]).select(
         "message_id", "part_no", "n_parts", "byte_offset", "total_bytes", "content")
 
 
-def reassemble_ordered(jobs: DataFrame, mode: str = "distinct") -> DataFrame:
+def reassemble_ordered(jobs: DataFrame, part_bytes: int = PART_BYTES, mode: str = "distinct"
+                       ) -> DataFrame:
     """The same as ordered chunk rows with their byte offset, for messages of any size.
 
-    Rows are range-partitioned by (message, index): one long message spans many partitions.
+    The rows of a part follow each other in index order; a long message spans many
+    partitions. A writer that needs bytes at their place has the offset on every row.
     """
+    parts = collect_parts(_payloads(jobs), part_bytes)
+    complete = complete_parts(jobs, part_bytes, mode)
     return (
-        chunks_of_message(jobs, mode)
-        .groupBy("message_id", "chunk_index", "byte_offset")
-        .agg(F.min("payload").alias("payload"))
-        .repartitionByRange("message_id", "chunk_index")
-        .sortWithinPartitions("message_id", "chunk_index")
+        parts.join(complete, ["message_id", "part_no"])
+        .select("message_id", "part_no", F.explode("pieces").alias("_piece"))
+        .select("message_id", "part_no", "_piece.*")
     )
 
 
 def finish_incoming(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     """Classified chunks and manifests of complete messages to C."""
+    kinds = [L.padded(L.TYPE_CHUNK), L.padded(L.TYPE_MANIFEST)]
+    data = (F.col("jstate") == L.CLASSIFIED) & F.col("jtype").isin(*kinds)
     frame = F.col("jobdata")
-    kind = X.frame_type(frame)
-    message = F.when(
-        F.col("jstate") == L.CLASSIFIED,
-        F.when(kind == L.padded(L.TYPE_CHUNK), X.frame_text(frame, L.CHUNK["parent_id"]))
-        .when(kind == L.padded(L.TYPE_MANIFEST), X.frame_text(frame, L.MANIFEST["parent_id"])))
+    message = F.when(F.col("jtype") == kinds[0], X.frame_text(frame, L.CHUNK["parent_id"])).otherwise(
+        X.frame_text(frame, L.MANIFEST["parent_id"]))
     complete = (
         incoming_complete(jobs, mode).select("message_id").distinct()
         .withColumn("_complete", F.lit(True))
     )
-    joined = join_lookup(jobs.withColumn("message_id", message), complete, ["message_id"], "left",
-                         spread_by=F.col("jobid"))
+    joined = join_lookup(jobs.filter(data).withColumn("message_id", message), complete,
+                         ["message_id"], "left", spread_by=F.col("jobid"))
     state = F.when(F.col("_complete"), L.COMPLETE).otherwise(F.col("jstate"))
-    return joined.withColumn("jstate", state).select(*JOB_COLUMNS)
+    return jobs.filter(~data).select(*JOB_COLUMNS).unionByName(
+        joined.withColumn("jstate", state).select(*JOB_COLUMNS))

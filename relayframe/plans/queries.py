@@ -487,13 +487,14 @@ def completion_status_distinct(spark, sf_dir):
 
 @query
 def incoming_complete(spark, sf_dir):
-    return reassembly.incoming_complete(fx.received_chunks(spark, sf_dir)).drop("frame_bytes")
+    return reassembly.incoming_complete(fx.received_chunks(spark, sf_dir)).drop(
+        "frame_bytes", "last_index")
 
 
 @query
 def incoming_complete_distinct(spark, sf_dir):
     return reassembly.incoming_complete(
-        fx.received_chunks(spark, sf_dir), "distinct").drop("frame_bytes")
+        fx.received_chunks(spark, sf_dir), "distinct").drop("frame_bytes", "last_index")
 
 
 @query

@@ -37,7 +37,7 @@ def work_root(spark: SparkSession) -> str:
     A cluster sets it; only where it is unset, as in tests on one machine, a
     temporary folder is made and set for the rest of the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="relayframe-")
         spark.conf.set("spark.checkpoint.dir", root)
