@@ -75,8 +75,7 @@ def duckdb_times(names: list[str]) -> dict[str, float]:
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g",
-        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "0"})
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     named = {name: QUERIES[name] for name in REGISTERED}
     named |= {"verify_chunk_frames": verify_chunk_frames, "run_tick": tick}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node
-from .lookups import join_lookup
+from .lookups import join_lookup, salted_join
 
 # One task frames at most about this much of one file that many jobs ask for.
 HOT_FILE_BYTES = 1 << 30
@@ -118,25 +118,14 @@ def attach_content(requests: DataFrame, files: DataFrame) -> DataFrame:
     """
     sizes = files.select("file_name", "n_bytes")
     asked = requests.groupBy("file_name").agg(F.count("*").alias("n_requests"))
+    n_salts = F.ceil(F.col("n_requests") * F.col("n_bytes") / HOT_FILE_BYTES)
     hot = (
         asked.filter(F.col("n_requests") > 1).join(sizes, "file_name")
-        .withColumn("n_salts", F.ceil(F.col("n_requests") * F.col("n_bytes") / HOT_FILE_BYTES))
+        .select("file_name", F.least(n_salts, "n_requests").cast("int").alias("n_salts"))
         .filter(F.col("n_salts") > 1)
-        .select("file_name", F.least("n_salts", "n_requests").cast("int").alias("n_salts"))
-    )
-    salts = F.coalesce(F.col("n_salts"), F.lit(1))
-    spread = F.pmod(F.xxhash64("jobid"), salts).cast("int")
-    asking = requests.join(F.broadcast(hot), "file_name", "left").withColumn("_salt", spread)
-    serving = (
-        files.select("file_name", "content", "n_bytes")
-        .join(F.broadcast(hot), "file_name", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    )
-    return (
-        serving.drop("n_salts")
-        .join(asking.drop("n_salts").hint("SHUFFLE_HASH"), ["file_name", "_salt"])
-        .drop("_salt")
     )
+    return salted_join(requests, files.select("file_name", "content", "n_bytes"), ["file_name"],
+                       "inner", hot, F.col("jobid"), hint="SHUFFLE_HASH")
 
 
 def n_chunks(n_bytes, capacity) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # Largest lookup sent to every executor: 200,000 narrow rows are about 20 MB.
 BROADCAST_ROWS = 200_000
-# Copies of a larger lookup, so that one hot key is spread over that many tasks.
-SALTS = 16
+# Rows of one key joined by one task: narrow rows, and rows that carry a payload.
+NARROW_ROWS = 1_000_000
+WIDE_ROWS = 10_000
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -16,6 +17,34 @@ def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(max_rows + 1).count() <= max_rows
 
 
+def salted_join(many: DataFrame, one: DataFrame, on: list[str], how: str, hot: DataFrame,
+                spread_by: Column, hint: str = "") -> DataFrame:
+    """``many`` joined with ``one`` where the keys in ``hot`` are spread over ``n_salts`` tasks.
+
+    ``hot`` holds the key columns and n_salts. Only rows of hot keys are copied; all other
+    keys join as usual, and without any hot key this is the plain join. The caller bounds
+    the size of ``hot``, which is broadcast. ``hint`` applies to ``many``.
+    """
+    keys, left, right = on, many, one
+    if not hot.isEmpty():
+        few = F.broadcast(hot)
+        salts = F.coalesce(F.col("n_salts"), F.lit(1))
+        left = many.join(few, on, "left").withColumn(
+            "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")).drop("n_salts")
+        right = one.join(few, on, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n_salts")
+        keys = [*on, "_salt"]
+    if hint:
+        left = left.hint(hint)
+    return left.join(right, keys, how).drop("_salt")
+
+
+def hot_keys(df: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
+    """Keys with more rows than one task should join: at most rows / ``rows_per_task`` of them."""
+    n_salts = F.ceil(F.count("*") / rows_per_task).cast("int").alias("n_salts")
+    return df.groupBy(*on).agg(n_salts).filter(F.col("n_salts") > 1)
+
+
 def join_lookup(
     big: DataFrame,
     lookup: DataFrame,
@@ -23,19 +52,18 @@ def join_lookup(
     how: str = "inner",
     *,
     spread_by: Column,
+    rows_per_task: int = NARROW_ROWS,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``big`` joined with a narrow ``lookup`` on equally named columns.
 
-    A lookup within ``max_rows`` is broadcast, so ``big`` is not shuffled. A larger one
-    is copied ``SALTS`` times and joined on key and salt; ``spread_by`` (a row
-    identifier of ``big``) picks the salt, which divides a hot key evenly.
+    A lookup within ``max_rows`` is broadcast, so ``big`` is not shuffled. Beyond that both
+    are shuffled, and the keys of which ``big`` has more than ``rows_per_task`` rows are
+    spread over several tasks; ``spread_by`` (a row identifier of ``big``) picks the one.
     """
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return salted_join(big, lookup, on, how, hot_keys(big, on, rows_per_task), spread_by)
 
 
 def latest_by(df: DataFrame, key: list[str], order: list[str], values: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..functions.frames import as_column
-from .lookups import join_lookup, latest_by
+from .lookups import WIDE_ROWS, join_lookup, latest_by
 
 TIES = ["jcreation_time", "jobid"]
 # Identifiers made in one tick stay below this, so later ticks sort after earlier ones.
@@ -61,7 +61,8 @@ def get_payload(jobs: DataFrame, picked: DataFrame) -> DataFrame:
     """The bytes of picked messages, fetched after the pick."""
     ids = picked.select("jobid").distinct()
     return join_lookup(jobs.select("jobid", "jobdata"), ids, ["jobid"], "left_semi",
-                       spread_by=F.col("jobid"))
+                       spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
 
 
 def next_command(commands: DataFrame, k: int = 1) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from .framing import JOB_COLUMNS, decode_chunk, decode_manifest
-from .lookups import join_lookup
+from .lookups import WIDE_ROWS, join_lookup
 
 # Target size of one reassembled part; longer messages become several rows.
 PART_BYTES = 32 << 20
@@ -119,7 +119,8 @@ def chunks_of_message(jobs: DataFrame, mode: str = "rows") -> DataFrame:
         F.col("parent_id").alias("message_id"), digest.alias("digest"),
         "chunk_index", "byte_offset", "payload")
     complete = incoming_complete(jobs, mode).select("message_id").distinct()
-    kept = join_lookup(chunks, complete, ["message_id"], "left_semi", spread_by=F.col("digest"))
+    kept = join_lookup(chunks, complete, ["message_id"], "left_semi", spread_by=F.col("digest"),
+                       rows_per_task=WIDE_ROWS)
     return kept.dropDuplicates(["message_id", "digest"]).drop("digest")
 
 
@@ -212,7 +213,8 @@ def finish_incoming(jobs: DataFrame, mode: str = "rows") -> DataFrame:
         .withColumn("_complete", F.lit(True))
     )
     joined = join_lookup(jobs.filter(data).withColumn("message_id", message), complete,
-                         ["message_id"], "left", spread_by=F.col("jobid"))
+                         ["message_id"], "left", spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
     state = F.when(F.col("_complete"), L.COMPLETE).otherwise(F.col("jstate"))
     return jobs.filter(~data).select(*JOB_COLUMNS).unionByName(
         joined.withColumn("jstate", state).select(*JOB_COLUMNS))

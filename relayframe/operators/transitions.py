@@ -14,7 +14,7 @@ from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node
 from .framing import JOB_COLUMNS, addressable
-from .lookups import join_lookup, latest_by
+from .lookups import WIDE_ROWS, join_lookup, latest_by
 
 
 def move(jobs: DataFrame, condition: Column, state) -> DataFrame:
@@ -229,7 +229,8 @@ def plan_single(jobs: DataFrame, files: DataFrame, peers: DataFrame) -> DataFram
 def mark_taken(jobs: DataFrame, picked: DataFrame) -> DataFrame:
     """Appends W to the state of the picked jobids, e.g. S-4 to S-4W."""
     ids = picked.select("jobid").distinct().withColumn("_picked", F.lit(True))
-    joined = join_lookup(jobs, ids, ["jobid"], "left", spread_by=F.col("jobid"))
+    joined = join_lookup(jobs, ids, ["jobid"], "left", spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
     taken = F.concat(F.rtrim(F.col("jstate")), F.lit(L.TAKEN_SUFFIX))
     return move(joined, F.col("_picked").isNotNull(), taken).select(*jobs.columns)
 
@@ -241,7 +242,8 @@ def apply_send_status(jobs: DataFrame, acks: DataFrame) -> DataFrame:
     several acknowledgements of a job the last one counts.
     """
     last = latest_by(acks, ["jobid"], ["ack_time", "ack_id"], ["status"])
-    joined = join_lookup(jobs, last, ["jobid"], "left", spread_by=F.col("jobid"))
+    joined = join_lookup(jobs, last, ["jobid"], "left", spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
     outcome = F.when(F.col("status") > 0, L.COMPLETE).otherwise(F.lit(L.DEAD))
     return move(joined, F.col("status").isNotNull(), outcome).select(*jobs.columns)
 
@@ -261,8 +263,10 @@ def update_job_priority(jobs: DataFrame, updates: DataFrame) -> DataFrame:
     own = last.select("jobid", F.struct("update_no", "new_priority").alias("_own"))
     parent = last.select(F.col("jobid").alias("jparent_jobid"),
                          F.struct("update_no", "new_priority").alias("_parent"))
-    joined = join_lookup(jobs, own, ["jobid"], "left", spread_by=F.col("jobid"))
-    joined = join_lookup(joined, parent, ["jparent_jobid"], "left", spread_by=F.col("jobid"))
+    joined = join_lookup(jobs, own, ["jobid"], "left", spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
+    joined = join_lookup(joined, parent, ["jparent_jobid"], "left", spread_by=F.col("jobid"),
+                         rows_per_task=WIDE_ROWS)
     newest = F.greatest("_own", "_parent")["new_priority"]
     return joined.withColumn(
         "jpriority", F.coalesce(newest, F.col("jpriority")).cast("int")).select(*jobs.columns)

@@ -55,11 +55,6 @@ def jobs_out(jobs: DataFrame) -> DataFrame:
                        "jparent_jobid", md5_of("jobdata", "data_md5"))
 
 
-def planned_sends(spark, sf_dir) -> DataFrame:
-    sends = fx.send_jobs(spark, sf_dir, L.ADMITTED)
-    return transitions.plan_sends(sends, fx.files(spark, sf_dir), fx.peers(spark, sf_dir))
-
-
 # --- sources and sinks ------------------------------------------------------------
 
 @query
@@ -191,26 +186,26 @@ def decode_chunk(spark, sf_dir):
 
 @query
 def decode_single(spark, sf_dir):
-    singles = framing.encode_single(planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
+    singles = framing.encode_single(fx.planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
                                     fx.peers(spark, sf_dir), fx.t0())
     return framing.decode_single(singles).select("jobid", md5_of("payload", "payload_md5"))
 
 
 @query
 def encode_single(spark, sf_dir):
-    return jobs_out(framing.encode_single(planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
+    return jobs_out(framing.encode_single(fx.planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
                                           fx.peers(spark, sf_dir), fx.t0()))
 
 
 @query
 def chunk_payloads(spark, sf_dir):
-    return jobs_out(framing.chunk_payloads(planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
+    return jobs_out(framing.chunk_payloads(fx.planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
                                            fx.peers(spark, sf_dir), fx.t0()))
 
 
 @query
 def encode_manifest(spark, sf_dir):
-    return jobs_out(framing.encode_manifest(planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
+    return jobs_out(framing.encode_manifest(fx.planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
                                             fx.peers(spark, sf_dir), fx.t0()))
 
 
@@ -313,13 +308,13 @@ def plan_single(spark, sf_dir):
 @query
 def await_chunks(spark, sf_dir):
     return _state_and_target(transitions.await_chunks(
-        planned_sends(spark, sf_dir), fx.peers(spark, sf_dir)))
+        fx.planned_sends(spark, sf_dir), fx.peers(spark, sf_dir)))
 
 
 @query
 def await_single(spark, sf_dir):
     return _state_and_target(transitions.await_single(
-        planned_sends(spark, sf_dir), fx.peers(spark, sf_dir)))
+        fx.planned_sends(spark, sf_dir), fx.peers(spark, sf_dir)))
 
 
 def _pending(spark, sf_dir) -> DataFrame:
@@ -616,7 +611,7 @@ def notify_handshake(spark, sf_dir):
 
 @query
 def notify_sender(spark, sf_dir):
-    chunks = framing.chunk_payloads(planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
+    chunks = framing.chunk_payloads(fx.planned_sends(spark, sf_dir), fx.files(spark, sf_dir),
                                     fx.peers(spark, sf_dir), fx.t0())
     writes = changes.write_set(chunks, changes.INSERT).unionByName(
         changes.write_set(fx.lane_jobs(spark, sf_dir), changes.UPDATE))

@@ -110,13 +110,17 @@ def run_tick(state: NodeState, as_of: datetime,
     peers, requests, events = _negotiate(state, tick)
     planned = _plan_sends(state, peers)
 
-    inserted = _union([
+    created = [
         negotiate.handshake_requests(state.jobs, state.peers, node, as_of),
         negotiate.handshake_replies(requests, node, as_of),
-        framing.encode_single(planned, state.files, peers, as_of),
-        framing.chunk_payloads(planned, state.files, peers, as_of),
-        framing.encode_manifest(planned, state.files, peers, as_of),
-    ])
+    ]
+    if not planned.filter(F.col("jstate").isin(L.CHUNKED, L.SINGLE)).isEmpty():
+        created += [
+            framing.encode_single(planned, state.files, peers, as_of),
+            framing.chunk_payloads(planned, state.files, peers, as_of),
+            framing.encode_manifest(planned, state.files, peers, as_of),
+        ]
+    inserted = _union(created)
 
     movable = F.expr(MOVABLE)
     inbound = state.jobs.filter(

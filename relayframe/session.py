@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,10 +49,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_root(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """Writes a result to the shared folder once and reads it back.
+
+    What follows neither recomputes it nor depends on the executors that made it, and
+    the planner knows its real size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

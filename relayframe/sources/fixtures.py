@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node, NodeState
-from ..operators import framing
+from ..operators import framing, transitions
 from ..operators.framing import JOB_COLUMNS
 from ..session import work_path
 from .state import load_state, root_jobs, save_state
@@ -27,34 +29,53 @@ def t0() -> Column:
     return F.lit(T0.isoformat(sep=" ")).cast("timestamp")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
-def stored_path(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
-    """Writes a derived table once per application and returns its path.
+def stored_path(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]
+                ) -> tuple[str, T.StructType]:
+    """Writes a derived table once per application; its path and schema.
 
-    Frames that arrived are stored data: operators read them from files, and filters on
-    frame fields do not become filters on the expression that once built the frame.
+    Frames that arrived and files that were imported are stored data: operators read them
+    from files, and filters on frame fields do not become filters on the expression that
+    once built the frame.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        path = work_path(spark, name)
-        df.write.parquet(path)
-        _STORED[key] = path
+        path, df = work_path(spark, name), make()
+        spread(df).write.parquet(path)
+        _STORED[key] = (path, df.schema)
     return _STORED[key]
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    return spark.read.schema(df.schema).parquet(stored_path(spark, sf_dir, name, df))
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]
+           ) -> DataFrame:
+    path, schema = stored_path(spark, sf_dir, name, make)
+    return spark.read.schema(schema).parquet(path)
 
 
-def stored_stream(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+def stored_stream(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]
+                  ) -> DataFrame:
     """A derived table as a file stream."""
-    return spark.readStream.schema(df.schema).parquet(stored_path(spark, sf_dir, name, df))
+    path, schema = stored_path(spark, sf_dir, name, make)
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the source has fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +121,10 @@ def source_capacity(number: Column) -> Column:
 
 
 def peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "peers", lambda: _peers(spark, sf_dir))
+
+
+def _peers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n")
     known = table(spark, sf_dir, "documents").select("source").distinct().withColumn(
         "n", source_number(F.col("source")))
@@ -115,6 +140,10 @@ def _file_name() -> Column:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "files", lambda: _files(spark, sf_dir))
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         uid("file", F.col("doc_id")).alias("file_id"), _file_name().alias("file_name"),
         F.col("text").cast("binary").alias("content"),
@@ -128,6 +157,12 @@ def send_jobs(spark: SparkSession, sf_dir: str, state: str = L.REQUESTED) -> Dat
         jpriority=F.col("doc_id") % 10 + 1)
 
 
+def planned_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Send jobs after planning (S-1, S-2, S-3), as the job table stores them."""
+    return stored(spark, sf_dir, "planned-sends", lambda: transitions.plan_sends(
+        send_jobs(spark, sf_dir, L.ADMITTED), files(spark, sf_dir), peers(spark, sf_dir)))
+
+
 def root(spark: SparkSession) -> DataFrame:
     one = spark.range(1).select(
         F.lit(ROOT_ID).alias("root_id"), F.lit(node().name).alias("system_name"))
@@ -172,8 +207,8 @@ def chunk_arrivals(documents: DataFrame) -> DataFrame:
 
 
 def arrived_chunks(spark: SparkSession, sf_dir: str, read=stored) -> DataFrame:
-    arrived = chunk_arrivals(table(spark, sf_dir, "documents"))
-    return read(spark, sf_dir, "chunk-frames", arrived)
+    return read(spark, sf_dir, "chunk-frames",
+                lambda: chunk_arrivals(table(spark, sf_dir, "documents")))
 
 
 def received_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,8 +237,8 @@ def message_frames(conversations: DataFrame) -> DataFrame:
 
 
 def arrived_messages(spark: SparkSession, sf_dir: str, read=stored) -> DataFrame:
-    frames = message_frames(table(spark, sf_dir, "conversations"))
-    return read(spark, sf_dir, "message-frames", frames)
+    return read(spark, sf_dir, "message-frames",
+                lambda: message_frames(table(spark, sf_dir, "conversations")))
 
 
 def received_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +268,7 @@ def handshake_frames(suppliers: DataFrame, kind: str) -> DataFrame:
 
 def received_handshakes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     frames = stored(spark, sf_dir, f"handshake-frames-{kind}",
-                    handshake_frames(table(spark, sf_dir, "supplier"), kind))
+                    lambda: handshake_frames(table(spark, sf_dir, "supplier"), kind))
     return ingest_frames(frames, node(), t0())
 
 
@@ -312,6 +347,10 @@ def children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def family_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as waiting parents, line items as their chunks, and a manifest per order."""
+    return stored(spark, sf_dir, "family-jobs", lambda: _family_jobs(spark, sf_dir))
+
+
+def _family_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     order_id = uid("ord", F.col("o_orderkey"))
     status = F.col("o_orderstatus")
@@ -338,8 +377,7 @@ def family_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         jstate=F.when(F.col("l_orderkey") % 4 == 0, L.READY).otherwise(F.lit(L.COMPLETE)),
         jtype=F.lit(L.TYPE_MANIFEST), jparent_jobid=uid("ord", F.col("l_orderkey")),
         jdestination=F.lit(L.padded("src1")))
-    family = parent_rows.unionByName(child_rows).unionByName(manifest_rows)
-    return stored(spark, sf_dir, "family-jobs", family)
+    return parent_rows.unionByName(child_rows).unionByName(manifest_rows)
 
 
 # --- customers and events ---------------------------------------------------------
@@ -392,13 +430,16 @@ def acks(events: DataFrame, target: Column) -> DataFrame:
 
 # --- a whole node -----------------------------------------------------------------
 
+_STATES: dict[tuple[str, str, str], str] = {}
+
+
 def node_state(spark: SparkSession, sf_dir: str, with_messages: bool = True) -> NodeState:
     """A stored node in the middle of its work: every kind of row a tick can meet."""
     name = "node-state" if with_messages else "node-state-quiet"
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        _STORED[key] = new_state_path(spark, sf_dir, name, with_messages)
-    return load_state(spark, _STORED[key])
+    if key not in _STATES:
+        _STATES[key] = new_state_path(spark, sf_dir, name, with_messages)
+    return load_state(spark, _STATES[key])
 
 
 def new_state_path(spark: SparkSession, sf_dir: str, name: str, with_messages: bool) -> str:
