@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import frames as X
 
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def as_files(found: DataFrame, created_at) -> DataFrame:
     """``binaryFile`` rows as stored files; the size is kept so later steps need no content."""
@@ -21,7 +23,8 @@ def import_files(spark: SparkSession, path: str, created_at, existing: DataFrame
                  glob: str | None = None) -> DataFrame:
     """Files below a path, named by it. Names stored already are left out.
 
-    One row per file; a file above 2 GB does not fit a row and fails the read.
+    One row per file; a file above 2 GB does not fit a row and fails the read. Spark's
+    file source lists no empty files, so they have to be added as rows.
     """
     reader = spark.read.format("binaryFile")
     if glob:
@@ -35,7 +38,8 @@ def import_files(spark: SparkSession, path: str, created_at, existing: DataFrame
 
 def import_files_stream(spark: SparkSession, path: str, created_at) -> DataFrame:
     """The same as a stream: every new file arrives once."""
-    return as_files(spark.readStream.format("binaryFile").load(path), created_at)
+    found = spark.readStream.format("binaryFile").schema(BINARY_FILE).load(path)
+    return as_files(found, created_at)
 
 
 def export_files(parts: DataFrame, path: str, mode: str = "errorifexists") -> None:
