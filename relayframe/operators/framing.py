@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node
-from .lookups import join_lookup, salted_join
+from .lookups import bounded_hot_keys, join_lookup, salted_join
 
 # One task frames at most about this much of one file that many jobs ask for.
 HOT_FILE_BYTES = 1 << 30
@@ -60,17 +60,18 @@ def decode_manifest(frames: DataFrame, column: str = "jobdata") -> DataFrame:
 
 
 def decode_chunk(frames: DataFrame, column: str = "jobdata") -> DataFrame:
-    """Type 2 frames with index, parent, length, byte offset and exact payload.
+    """Type 2 frames with index, parent, length, room per chunk, byte offset and exact payload.
 
-    Every chunk frame of a message is exactly as long as the agreed capacity, so the
-    offset of a chunk follows from its own frame and needs no running sum.
+    Every chunk frame of a message is exactly as long as the agreed capacity, so the room
+    and offset of a chunk follow from its own frame and need no running sum.
     """
     frame = F.col(column)
     fields = _numbers(frame, L.CHUNK)
     size = F.greatest(fields["chunk_bytes"], F.lit(0)).cast("int")
     fields["payload"] = F.substring(frame, F.lit(L.CHUNK_PAYLOAD_AT), size)
-    step = (F.octet_length(frame) - L.DATA_OVERHEAD).cast("bigint")
-    fields["byte_offset"] = fields["chunk_index"] * step
+    room = (F.octet_length(frame) - L.DATA_OVERHEAD).cast("bigint")
+    fields["room"] = room
+    fields["byte_offset"] = fields["chunk_index"] * room
     return _of_type(frames, column, L.TYPE_CHUNK).withColumns(fields)
 
 
@@ -113,19 +114,21 @@ def attach_content(requests: DataFrame, files: DataFrame) -> DataFrame:
 
     The hash table is built from the narrow requests and the wide files are streamed
     past it, unsorted. A file whose requests together exceed ``HOT_FILE_BYTES`` is
-    copied to several tasks, each serving a share of them; there are at most
-    (bytes sent / ``HOT_FILE_BYTES``) such files, so the list of them stays small.
+    copied to several tasks, each serving a share of them.
     """
-    sizes = files.select("file_name", "n_bytes")
     asked = requests.groupBy("file_name").agg(F.count("*").alias("n_requests"))
-    n_salts = F.ceil(F.col("n_requests") * F.col("n_bytes") / HOT_FILE_BYTES)
-    hot = (
-        asked.filter(F.col("n_requests") > 1).join(sizes, "file_name")
-        .select("file_name", F.least(n_salts, "n_requests").cast("int").alias("n_salts"))
-        .filter(F.col("n_salts") > 1)
-    )
+    again = asked.filter(F.col("n_requests") > 1).join(
+        files.select("file_name", "n_bytes"), "file_name")
+
+    def hot(share: int) -> DataFrame:
+        n_salts = F.ceil(F.col("n_requests") * F.col("n_bytes") / share)
+        return again.select(
+            "file_name", F.least(n_salts, "n_requests").cast("int").alias("n_salts")
+        ).filter(F.col("n_salts") > 1)
+
     return salted_join(requests, files.select("file_name", "content", "n_bytes"), ["file_name"],
-                       "inner", hot, F.col("jobid"), hint="SHUFFLE_HASH")
+                       "inner", bounded_hot_keys(hot, HOT_FILE_BYTES), F.col("jobid"),
+                       hint="SHUFFLE_HASH")
 
 
 def n_chunks(n_bytes, capacity) -> Column:

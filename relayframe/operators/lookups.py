@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Largest lookup sent to every executor: 200,000 narrow rows are about 20 MB.
 BROADCAST_ROWS = 200_000
 # Rows of one key joined by one task: narrow rows, and rows that carry a payload.
@@ -17,16 +21,36 @@ def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(max_rows + 1).count() <= max_rows
 
 
-def salted_join(many: DataFrame, one: DataFrame, on: list[str], how: str, hot: DataFrame,
+def hot_keys(df: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
+    """Keys with more rows than one task should join, and the tasks each of them needs."""
+    n_salts = F.ceil(F.count("*") / rows_per_task).cast("int").alias("n_salts")
+    return df.groupBy(*on).agg(n_salts).filter(F.col("n_salts") > 1)
+
+
+def bounded_hot_keys(make: Callable[[int], DataFrame], per_task: int,
+                     max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """Hot keys as a table small enough to broadcast, or None if there are none.
+
+    ``make`` lists the keys that exceed a share per task. Should there be too many, the
+    share is raised: the more keys are hot, the less each of them stands out.
+    """
+    while True:
+        hot = make(per_task)
+        found = hot.limit(max_rows + 1).count()
+        if found <= max_rows:
+            return cut_lineage(hot, "hot-keys") if found else None
+        per_task *= 8
+
+
+def salted_join(many: DataFrame, one: DataFrame, on: list[str], how: str, hot: DataFrame | None,
                 spread_by: Column, hint: str = "") -> DataFrame:
     """``many`` joined with ``one`` where the keys in ``hot`` are spread over ``n_salts`` tasks.
 
-    ``hot`` holds the key columns and n_salts. Only rows of hot keys are copied; all other
-    keys join as usual, and without any hot key this is the plain join. The caller bounds
-    the size of ``hot``, which is broadcast. ``hint`` applies to ``many``.
+    ``hot`` comes from ``bounded_hot_keys``. Only rows of hot keys are copied; all other keys
+    join as usual, and without any hot key this is the plain join. ``hint`` is for ``many``.
     """
     keys, left, right = on, many, one
-    if not hot.isEmpty():
+    if hot is not None:
         few = F.broadcast(hot)
         salts = F.coalesce(F.col("n_salts"), F.lit(1))
         left = many.join(few, on, "left").withColumn(
@@ -39,12 +63,6 @@ def salted_join(many: DataFrame, one: DataFrame, on: list[str], how: str, hot: D
     return left.join(right, keys, how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, on: list[str], rows_per_task: int) -> DataFrame:
-    """Keys with more rows than one task should join: at most rows / ``rows_per_task`` of them."""
-    n_salts = F.ceil(F.count("*") / rows_per_task).cast("int").alias("n_salts")
-    return df.groupBy(*on).agg(n_salts).filter(F.col("n_salts") > 1)
-
-
 def join_lookup(
     big: DataFrame,
     lookup: DataFrame,
@@ -63,7 +81,8 @@ def join_lookup(
     """
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), on, how)
-    return salted_join(big, lookup, on, how, hot_keys(big, on, rows_per_task), spread_by)
+    hot = bounded_hot_keys(lambda share: hot_keys(big, on, share), rows_per_task)
+    return salted_join(big, lookup, on, how, hot, spread_by)
 
 
 def latest_by(df: DataFrame, key: list[str], order: list[str], values: list[str]) -> DataFrame:

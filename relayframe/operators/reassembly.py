@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import frames as X
@@ -10,8 +10,9 @@ from ..functions import layout as L
 from .framing import JOB_COLUMNS, decode_chunk, decode_manifest
 from .lookups import WIDE_ROWS, join_lookup
 
-# Target size of one reassembled part; longer messages become several rows.
+# Limits of one reassembled part; longer messages become several rows.
 PART_BYTES = 32 << 20
+PART_CHUNKS = 1 << 16
 # Chunk indexes compared per group when looking for gaps.
 GAP_BLOCK = 4096
 
@@ -124,14 +125,19 @@ def chunks_of_message(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     return kept.dropDuplicates(["message_id", "digest"]).drop("digest")
 
 
+def chunks_per_part(room: Column, part_bytes: int) -> Column:
+    """Whole chunks that make up a part, given the payload room of a chunk."""
+    return F.greatest(F.lit(1), F.least(F.floor(F.lit(part_bytes) / room), F.lit(PART_CHUNKS)))
+
+
 def collect_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Chunks grouped into parts of about ``part_bytes``, in index order, without copies.
 
-    The part of a chunk follows from its byte offset, so a message of any length is
-    spread over as many groups as it has parts and no group exceeds one part. Copies of
-    a chunk are merged before the only shuffle of payloads.
+    The part of a chunk follows from its index, so a message of any length is spread over
+    as many groups as it has parts and no group exceeds one part. Copies of a chunk are
+    merged before the only shuffle of payloads.
     """
-    part = F.floor(F.col("byte_offset") / part_bytes).cast("bigint")
+    part = F.floor(F.col("chunk_index") / chunks_per_part(F.col("room"), part_bytes)).cast("bigint")
     ordered = F.col("_ordered")
     new_index = (lambda piece, i: (i == 0) | (
         piece["chunk_index"] != F.get(ordered, i - 1)["chunk_index"]))
@@ -158,13 +164,13 @@ def message_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
 def _payloads(jobs: DataFrame) -> DataFrame:
     return decode_chunk(_classified(jobs)).select(
-        F.col("parent_id").alias("message_id"), "chunk_index", "byte_offset", "payload")
+        F.col("parent_id").alias("message_id"), "chunk_index", "room", "byte_offset", "payload")
 
 
 def complete_parts(jobs: DataFrame, part_bytes: int, mode: str) -> DataFrame:
     """Complete messages as (message, part): the key their parts are partitioned by."""
-    step = F.col("frame_bytes") - L.DATA_OVERHEAD
-    last_part = F.floor(F.col("last_index") * step / part_bytes).cast("bigint")
+    room = F.col("frame_bytes") - L.DATA_OVERHEAD
+    last_part = F.floor(F.col("last_index") / chunks_per_part(room, part_bytes)).cast("bigint")
     return (
         incoming_complete(jobs, mode)
         .groupBy("message_id").agg(

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from relayframe.operators.lookups import hot_keys, join_lookup, latest_by
+from relayframe.operators.lookups import bounded_hot_keys, hot_keys, join_lookup, latest_by
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,12 @@ def test_hot_key_gets_as_many_tasks_as_it_needs(skewed):
     assert hot == {0: -(-skewed.filter("k = 0").count() // 100)}
 
 
+def test_too_many_hot_keys_raise_the_share(skewed):
+    hot = bounded_hot_keys(lambda share: hot_keys(skewed, ["k"], share), 10, max_rows=3)
+    assert [r.k for r in hot.collect()] == [0]
+    assert bounded_hot_keys(lambda share: hot_keys(skewed, ["k"], share), 10_000) is None
+
+
 def test_latest_by_takes_the_last_row(spark):
     rows = [("a", 1, 1, "x"), ("a", 2, 1, "y"), ("a", 2, 2, "z"), ("b", 5, 1, "w")]
     df = spark.createDataFrame(rows, "k string, t int, n int, v string")
