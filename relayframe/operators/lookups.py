@@ -72,13 +72,18 @@ def join_lookup(
     spread_by: Column,
     rows_per_task: int = NARROW_ROWS,
     max_rows: int = BROADCAST_ROWS,
+    write_lookup: bool = False,
 ) -> DataFrame:
     """``big`` joined with a narrow ``lookup`` on equally named columns.
 
     A lookup within ``max_rows`` is broadcast, so ``big`` is not shuffled. Beyond that both
     are shuffled, and the keys of which ``big`` has more than ``rows_per_task`` rows are
     spread over several tasks; ``spread_by`` (a row identifier of ``big``) picks the one.
+    ``write_lookup`` is for a lookup that takes work to compute: it is written first, so
+    that counting it and joining it do not compute it twice.
     """
+    if write_lookup:
+        lookup = cut_lineage(lookup, "lookup")
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), on, how)
     hot = bounded_hot_keys(lambda share: hot_keys(big, on, share), rows_per_task)

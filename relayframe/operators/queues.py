@@ -62,7 +62,7 @@ def get_payload(jobs: DataFrame, picked: DataFrame) -> DataFrame:
     ids = picked.select("jobid").distinct()
     return join_lookup(jobs.select("jobid", "jobdata"), ids, ["jobid"], "left_semi",
                        spread_by=F.col("jobid"),
-                         rows_per_task=WIDE_ROWS)
+                         rows_per_task=WIDE_ROWS, write_lookup=True)
 
 
 def next_command(commands: DataFrame, k: int = 1) -> DataFrame:

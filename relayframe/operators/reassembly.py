@@ -121,7 +121,7 @@ def chunks_of_message(jobs: DataFrame, mode: str = "rows") -> DataFrame:
         "chunk_index", "byte_offset", "payload")
     complete = incoming_complete(jobs, mode).select("message_id").distinct()
     kept = join_lookup(chunks, complete, ["message_id"], "left_semi", spread_by=F.col("digest"),
-                       rows_per_task=WIDE_ROWS)
+                       rows_per_task=WIDE_ROWS, write_lookup=True)
     return kept.dropDuplicates(["message_id", "digest"]).drop("digest")
 
 
@@ -220,7 +220,7 @@ def finish_incoming(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     )
     joined = join_lookup(jobs.filter(data).withColumn("message_id", message), complete,
                          ["message_id"], "left", spread_by=F.col("jobid"),
-                         rows_per_task=WIDE_ROWS)
+                         rows_per_task=WIDE_ROWS, write_lookup=True)
     state = F.when(F.col("_complete"), L.COMPLETE).otherwise(F.col("jstate"))
     return jobs.filter(~data).select(*JOB_COLUMNS).unionByName(
         joined.withColumn("jstate", state).select(*JOB_COLUMNS))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node
+from ..session import cut_lineage
 from .framing import JOB_COLUMNS, addressable
 from .lookups import WIDE_ROWS, join_lookup, latest_by
 
@@ -230,7 +231,7 @@ def mark_taken(jobs: DataFrame, picked: DataFrame) -> DataFrame:
     """Appends W to the state of the picked jobids, e.g. S-4 to S-4W."""
     ids = picked.select("jobid").distinct().withColumn("_picked", F.lit(True))
     joined = join_lookup(jobs, ids, ["jobid"], "left", spread_by=F.col("jobid"),
-                         rows_per_task=WIDE_ROWS)
+                         rows_per_task=WIDE_ROWS, write_lookup=True)
     taken = F.concat(F.rtrim(F.col("jstate")), F.lit(L.TAKEN_SUFFIX))
     return move(joined, F.col("_picked").isNotNull(), taken).select(*jobs.columns)
 
@@ -243,7 +244,7 @@ def apply_send_status(jobs: DataFrame, acks: DataFrame) -> DataFrame:
     """
     last = latest_by(acks, ["jobid"], ["ack_time", "ack_id"], ["status"])
     joined = join_lookup(jobs, last, ["jobid"], "left", spread_by=F.col("jobid"),
-                         rows_per_task=WIDE_ROWS)
+                         rows_per_task=WIDE_ROWS, write_lookup=True)
     outcome = F.when(F.col("status") > 0, L.COMPLETE).otherwise(F.lit(L.DEAD))
     return move(joined, F.col("status").isNotNull(), outcome).select(*jobs.columns)
 
@@ -259,7 +260,8 @@ def update_job_priority(jobs: DataFrame, updates: DataFrame) -> DataFrame:
     ``updates``: jobid, new_priority, update_no. Updates apply in the order of
     ``update_no``, so for a row named both itself and through its parent the later wins.
     """
-    last = latest_by(updates, ["jobid"], ["update_no"], ["update_no", "new_priority"])
+    last = cut_lineage(
+        latest_by(updates, ["jobid"], ["update_no"], ["update_no", "new_priority"]), "lookup")
     own = last.select("jobid", F.struct("update_no", "new_priority").alias("_own"))
     parent = last.select(F.col("jobid").alias("jparent_jobid"),
                          F.struct("update_no", "new_priority").alias("_parent"))
