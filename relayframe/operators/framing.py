@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import Node
-from .lookups import bounded_hot_keys, join_lookup, salted_join
+from .lookups import bounded_hot_keys, fits_broadcast, join_lookup, salted_join
 
 # One task frames at most about this much of one file that many jobs ask for.
 HOT_FILE_BYTES = 1 << 30
@@ -112,9 +112,10 @@ def _requests(jobs: DataFrame, peers: DataFrame, state: str) -> DataFrame:
 def attach_content(requests: DataFrame, files: DataFrame) -> DataFrame:
     """Requests joined with the bytes of their file.
 
-    The hash table is built from the narrow requests and the wide files are streamed
-    past it, unsorted. A file whose requests together exceed ``HOT_FILE_BYTES`` is
-    copied to several tasks, each serving a share of them.
+    Few requests are broadcast, and contents stay where they are. Otherwise the hash table
+    is built from the narrow requests and the wide files are streamed past it, unsorted. A
+    file whose requests together exceed ``HOT_FILE_BYTES`` is copied to several tasks, each
+    serving a share of them.
     """
     asked = requests.groupBy("file_name").agg(F.count("*").alias("n_requests"))
     again = asked.filter(F.col("n_requests") > 1).join(
@@ -126,8 +127,11 @@ def attach_content(requests: DataFrame, files: DataFrame) -> DataFrame:
             "file_name", F.least(n_salts, "n_requests").cast("int").alias("n_salts")
         ).filter(F.col("n_salts") > 1)
 
-    return salted_join(requests, files.select("file_name", "content", "n_bytes"), ["file_name"],
-                       "inner", bounded_hot_keys(hot, HOT_FILE_BYTES), F.col("jobid"),
+    contents = files.select("file_name", "content", "n_bytes")
+    hot_files = bounded_hot_keys(hot, HOT_FILE_BYTES)
+    if hot_files is None and fits_broadcast(requests):
+        return contents.join(F.broadcast(requests), "file_name")
+    return salted_join(requests, contents, ["file_name"], "inner", hot_files, F.col("jobid"),
                        hint="SHUFFLE_HASH")
 
 

@@ -17,15 +17,17 @@ PART_CHUNKS = 1 << 16
 GAP_BLOCK = 4096
 
 
-def _classified(jobs: DataFrame) -> DataFrame:
-    return jobs.filter(F.col("jstate") == L.CLASSIFIED)
+def _classified(jobs: DataFrame, kind: str) -> DataFrame:
+    """Classified frames of one type; the job table is partitioned by both columns."""
+    return jobs.filter(
+        (F.col("jstate") == L.CLASSIFIED) & (F.col("jtype") == L.padded(kind)))
 
 
 def chunk_keys(jobs: DataFrame) -> DataFrame:
     """Message and index of every classified chunk, without its payload."""
     frame = F.col("jobdata")
     return (
-        _classified(jobs).filter(X.frame_type(frame) == L.padded(L.TYPE_CHUNK))
+        _classified(jobs, L.TYPE_CHUNK)
         .select(X.frame_text(frame, L.CHUNK["parent_id"]).alias("message_id"),
                 X.frame_number(frame, L.CHUNK["chunk_index"]).alias("chunk_index"))
     )
@@ -34,7 +36,7 @@ def chunk_keys(jobs: DataFrame) -> DataFrame:
 def manifests(jobs: DataFrame) -> DataFrame:
     """One row per distinct manifest content; re-sent manifests fall together."""
     return (
-        decode_manifest(_classified(jobs))
+        decode_manifest(_classified(jobs, L.TYPE_MANIFEST))
         .select(F.col("parent_id").alias("message_id"), "total_bytes", "chunk_count",
                 "source_name", F.octet_length("jobdata").alias("frame_bytes"))
         .distinct()
@@ -116,7 +118,7 @@ def chunks_of_message(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     Identical copies have equal digests, so the digest stands for the whole frame.
     """
     digest = X.frame_text(F.col("jobdata"), L.HEADER["digest"])
-    chunks = decode_chunk(_classified(jobs)).select(
+    chunks = decode_chunk(_classified(jobs, L.TYPE_CHUNK)).select(
         F.col("parent_id").alias("message_id"), digest.alias("digest"),
         "chunk_index", "byte_offset", "payload")
     complete = incoming_complete(jobs, mode).select("message_id").distinct()
@@ -163,7 +165,7 @@ def message_parts(chunks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
 
 def _payloads(jobs: DataFrame) -> DataFrame:
-    return decode_chunk(_classified(jobs)).select(
+    return decode_chunk(_classified(jobs, L.TYPE_CHUNK)).select(
         F.col("parent_id").alias("message_id"), "chunk_index", "room", "byte_offset", "payload")
 
 

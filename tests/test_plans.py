@@ -41,7 +41,13 @@ def test_manifests_and_planning_never_read_contents(tables):
         assert scans(text) and not any("content" in line for line in scans(text))
 
 
-def test_chunks_hash_the_narrow_side_and_do_not_sort_contents(tables):
+def test_few_requests_leave_contents_in_place(tables):
+    text = plan(framing.chunk_payloads(tables.jobs, tables.files, tables.peers, S.AT))
+    assert "ShuffledHashJoin" not in text and "SortMergeJoin" not in text
+
+
+def test_chunks_hash_the_narrow_side_and_do_not_sort_contents(tables, monkeypatch):
+    monkeypatch.setattr(framing, "fits_broadcast", lambda requests: False)
     text = plan(framing.chunk_payloads(tables.jobs, tables.files, tables.peers, S.AT))
     assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
@@ -53,6 +59,11 @@ def test_inbound_steps_move_no_data(tables):
     assert "Exchange" not in text
 
 
+def test_manifests_are_read_without_chunks(tables):
+    text = plan(reassembly.manifests(tables.jobs))
+    assert "(jtype" in text and "PartitionFilters: [isnotnull(jstate" in text
+
+
 def test_payloads_are_shuffled_once(tables):
     text = plan(reassembly.reassemble(tables.jobs))
     wide = [block for block in text.split("\n\n") if ") Exchange" in block and "_pieces" in block

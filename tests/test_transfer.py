@@ -121,6 +121,8 @@ def test_hot_file_is_spread_and_whole(spark, monkeypatch):
         return sorted((r.jobid, bytes(r.jobdata)) for r in rows)
 
     plain = run()
+    monkeypatch.setattr(framing, "fits_broadcast", lambda requests: False)
+    assert run() == plain
     monkeypatch.setattr(framing, "HOT_FILE_BYTES", 5000)
     assert run() == plain
     assert len(plain) == sum(-(-len(contents[n]) // 128) for n in names)
