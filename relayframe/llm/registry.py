@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from relayframe.llm import fingerprints, urls
+from relayframe.llm import fingerprints, lines, token_files, urls
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
     "op2_multiset_hash": fingerprints.op2_multiset_hash,
+    "op5_line_runs": lines.op5_line_runs,
+    "op10_huffman_files": token_files.op10_huffman_files,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_runs": lines.SQL_OP5,
+}
