@@ -61,24 +61,25 @@ def similarity_sketch(shingles: np.ndarray, size: int) -> np.ndarray:
     Round i throws every element into one random place with value i plus a random fraction, and
     places keep their least value, so a later round never changes a filled place. After ``size``
     rounds, round ``size + j`` throws all elements into place j, which fills what is still empty.
-    Early rounds are thrown together, as many as are likely to fill every place.
+    Early rounds are thrown together, as many as are likely to fill every place. ``size`` stays
+    below 2**16.
     """
     n, out = len(shingles), np.zeros(size, np.uint64)
-    empty, done = np.ones(size, bool), 0
+    empty, done, width = np.ones(size, bool), 0, size.bit_length()
+    # A key is place, round and fraction from the top, so the first of a place is its least value.
+    to_place, to_round = np.uint64(64 - width), np.uint64(64 - 2 * width)
+    fraction = (np.uint64(1) << to_round) - np.uint64(1)
     while done < size and empty.any():
-        rounds = min(size - done, max(1, math.ceil(size * (math.log(size) + 2) / n)))
+        rounds = min(size - done, max(1, math.ceil(size * math.log(size) / n)))
         seeds = mix(np.arange(done + 1, done + rounds + 1, dtype=np.uint64) * _GOLD)
         thrown = mix(shingles[None, :] ^ seeds[:, None])
-        place = ((thrown >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
-        # The round stands above 40 random bits, so the least key of a place is its earliest hit.
-        key = (np.arange(rounds, dtype=np.uint64)[:, None] << np.uint64(40)) | (thrown & np.uint64((1 << 40) - 1))
-        place, key = place.ravel(), key.ravel()
-        wanted = empty[place]
-        place, key = place[wanted], key[wanted]
-        order = np.lexsort((key, place))
-        place, key = place[order], key[order]
+        place = (thrown >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)
+        key = (place << to_place) | (np.arange(rounds, dtype=np.uint64)[:, None] << to_round) | (thrown & fraction)
+        key = np.sort(key, axis=None)
+        place = (key >> to_place).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
-        out[place[first]] = mix(key[first] + np.uint64((done << 40) + 1))
+        first = first[empty[place[first]]]
+        out[place[first]] = mix((key[first] << np.uint64(width)) + _step(done + 1))
         empty[place[first]] = False
         done += rounds
     for j in np.flatnonzero(empty):
