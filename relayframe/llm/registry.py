@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from relayframe.llm import fingerprints, lines, near, token_files, urls
+from relayframe.llm import fingerprints, langid, lines, near, token_files, urls
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
     "op2_multiset_hash": fingerprints.op2_multiset_hash,
+    "op3_language": langid.op3_language,
     "op5_line_runs": lines.op5_line_runs,
     "op7_similarity_sketch": near.op7_similarity_sketch,
     "op10_huffman_files": token_files.op10_huffman_files,
