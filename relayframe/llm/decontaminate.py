@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm.tables import read
+from relayframe.llm.tables import columns_ddl, read
 
 MIN_WORDS, MIN_COVERAGE = 5, 0.8
 #: Items that a task holds at a time; more are taken in blocks of about as many.
@@ -112,39 +112,43 @@ def tiles(doc_at: np.ndarray, item_at: np.ndarray, size: int = MIN_WORDS) -> lis
 _FOUND = "doc_id long, item_id long, coverage double, n_tiles long, longest long"
 
 
-def _tiler(rows: list[tuple], least: float) -> Callable:
+def _matches(batch: pa.RecordBatch, items: Items, least: float) -> Iterator[tuple]:
+    """(row of the batch, item_id, coverage, tiles, words of the longest) where ``least`` is reached."""
+    texts, at = batch.column("text"), 0
+    while at < len(texts):
+        words, bounds, chars, first = [], [], 0, at
+        while at < len(texts) and chars < CHARS_AT_ONCE:
+            text = texts[at].as_py() or ""
+            words += words_of(text)
+            bounds.append(len(words))
+            chars += len(text)
+            at += 1
+        where, item, place = items.seeds(rolling_hashes(word_codes(words)))
+        ends = np.array(bounds)
+        doc = np.searchsorted(ends, where, side="right")
+        inside = where + MIN_WORDS <= ends[np.minimum(doc, len(ends) - 1)]
+        where, item, place, doc = where[inside], item[inside], place[inside], doc[inside]
+        order = np.lexsort((place, item, doc))
+        where, item, place, doc = where[order], item[order], place[order], doc[order]
+        pair = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+        for a, b in zip(pair.tolist(), [*pair[1:].tolist(), len(doc)], strict=True):
+            n = items.sizes[item[a]]
+            # Words of the item that any seed covers: no tiling covers more.
+            step = np.diff(np.unique(place[a:b]))
+            if np.minimum(step, MIN_WORDS).sum() + MIN_WORDS < least * n:
+                continue
+            found = tiles(where[a:b], place[a:b])
+            coverage = sum(k for _, _, k in found) / n
+            if coverage >= least:
+                yield first + int(doc[a]), items.items[item[a]][0], float(coverage), len(found), max(k for _, _, k in found)
+
+
+def _finder(rows: list[tuple], least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows)
         for batch in batches:
-            texts, at, out = batch.column("text"), 0, []
-            doc_ids = batch.column("doc_id").to_pylist()
-            while at < len(texts):
-                words, bounds, chars, first = [], [], 0, at
-                while at < len(texts) and chars < CHARS_AT_ONCE:
-                    text = texts[at].as_py() or ""
-                    words += words_of(text)
-                    bounds.append(len(words))
-                    chars += len(text)
-                    at += 1
-                where, item, place = items.seeds(rolling_hashes(word_codes(words)))
-                ends = np.array(bounds)
-                doc = np.searchsorted(ends, where, side="right")
-                inside = where + MIN_WORDS <= ends[np.minimum(doc, len(ends) - 1)]
-                where, item, place, doc = where[inside], item[inside], place[inside], doc[inside]
-                order = np.lexsort((place, item, doc))
-                where, item, place, doc = where[order], item[order], place[order], doc[order]
-                pair = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
-                for a, b in zip(pair.tolist(), [*pair[1:].tolist(), len(doc)], strict=True):
-                    n = items.sizes[item[a]]
-                    # Words of the item that any seed covers: no tiling covers more.
-                    step = np.diff(np.unique(place[a:b]))
-                    if np.minimum(step, MIN_WORDS).sum() + MIN_WORDS < least * n:
-                        continue
-                    found = tiles(where[a:b], place[a:b])
-                    coverage = sum(k for _, _, k in found) / n
-                    if coverage >= least:
-                        out.append((doc_ids[first + int(doc[a])], items.items[item[a]][0], float(coverage),
-                                    len(found), max(k for _, _, k in found)))
+            doc_ids = batch.column("doc_id")
+            out = [(doc_ids[row].as_py(), *rest) for row, *rest in _matches(batch, items, least)]
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
                                              ["doc_id", "item_id", "coverage", "n_tiles", "longest"])
@@ -152,6 +156,26 @@ def _tiler(rows: list[tuple], least: float) -> Callable:
     return run
 
 
+def _cleaner(rows: list[tuple], least: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(rows)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for row, *_ in _matches(batch, items, least)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
+    """The test items in blocks of about ``BLOCK_ITEMS``; at least one block, maybe empty."""
+    tests = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    n = max(1, -(-tests.count() // BLOCK_ITEMS))
+    for block in range(n):
+        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block)
+        yield [tuple(r) for r in own.collect()]
+
+
 def contaminated(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE) -> DataFrame:
     """``doc_id, item_id, coverage, n_tiles, longest`` where tiles cover ``least`` of an item.
 
@@ -161,14 +185,16 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE)
     ``MIN_WORDS`` words are found nowhere. Repeated rows are reported once; documents without a
     doc_id are reported with null.
     """
-    tests = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    blocks = max(1, -(-tests.count() // BLOCK_ITEMS))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = []
-    for block in range(blocks):
-        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        parts.append(rows.mapInArrow(_tiler([tuple(r) for r in own.collect()], least), _FOUND))
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return reduce(DataFrame.unionByName, [rows.mapInArrow(_finder(block, least), _FOUND)
+                                          for block in _blocks(items)]).distinct()
+
+
+def without_tests(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE) -> DataFrame:
+    """The rows of ``docs`` that hold no item as ``contaminated`` finds them, with all columns."""
+    for block in _blocks(items):
+        docs = docs.mapInArrow(_cleaner(block, least), columns_ddl(docs))
+    return docs
 
 
 def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

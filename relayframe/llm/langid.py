@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm.tables import read
+from relayframe.llm.tables import columns_ddl, read
 
 #: Starts of the code point ranges that belong to one script each; 0 is any other.
 SCRIPTS = [(0x0041, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -264,11 +264,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     rows = docs.drop("lang_pred", "score", "spans")
     ddl = "lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
-    return rows.mapInArrow(_predictor(model), f"{_ddl(rows)}, {ddl}")
-
-
-def _ddl(rows: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(_predictor(model), f"{columns_ddl(rows)}, {ddl}")
 
 
 def held_out(doc_id: Column) -> Column:

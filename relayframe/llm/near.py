@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relayframe.llm import shingles as sh
@@ -151,6 +151,20 @@ def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return out.withColumn("kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def one_of_each(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is that of their component, with all columns.
+
+    Of repeated rows one stays. Rows without a doc_id stay, as no component can name them.
+    """
+    kept = near_components(docs, size, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    # Rows of one doc_id are in one task already; of those with one text the first stays.
+    last = F.lag(F.xxhash64("text")).over(order)
+    named = named.withColumn("_again", F.coalesce(last == F.xxhash64("text"), F.lit(False))).where("NOT _again").drop("_again")
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op7_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 of 100 three-word shingles."""
     return near_components(read(spark, sf_dir, "documents"), 3, 85)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from relayframe.llm import decontaminate, fingerprints, langid, lines, near, token_files, urls
+from relayframe.llm import decontaminate, fingerprints, langid, lines, mixing, near, token_files, urls
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_line_runs": lines.op5_line_runs,
     "op7_similarity_sketch": near.op7_similarity_sketch,
     "op8_string_tiling": decontaminate.op8_string_tiling,
+    "op9_temperature_mix": mixing.op9_temperature_mix,
     "op10_huffman_files": token_files.op10_huffman_files,
 }
 

@@ -19,6 +19,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def doc_rows(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that further columns of a caller never clash with ours."""
-    return docs.select(*columns)
+def columns_ddl(rows: DataFrame) -> str:
+    """The columns of ``rows`` as the schema text of a map over them."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
