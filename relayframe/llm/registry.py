@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from relayframe.llm import decontaminate, fingerprints, langid, lines, mixing, near, token_files, urls
+from relayframe.llm import (
+    decontaminate, fingerprints, html, langid, lines, mixing, near, surrogates, token_files, urls)
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
     "op2_multiset_hash": fingerprints.op2_multiset_hash,
     "op3_language": langid.op3_language,
+    "op4_surrogates": surrogates.op4_surrogates,
     "op5_line_runs": lines.op5_line_runs,
+    "op6_layout_text": html.op6_layout_text,
     "op7_similarity_sketch": near.op7_similarity_sketch,
     "op8_string_tiling": decontaminate.op8_string_tiling,
     "op9_temperature_mix": mixing.op9_temperature_mix,
