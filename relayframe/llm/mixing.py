@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relayframe.llm.tables import BLANKS, read
+from relayframe.llm.tables import BLANKS, fresh, read
 from relayframe.session import cut_lineage
 
 #: Documents in a block, on average.
@@ -158,12 +158,12 @@ def draw(docs: DataFrame, target: Target, seed: str = "mix") -> DataFrame:
 
 def mixture(docs: DataFrame, target: Target, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, each as often as it is drawn, with their columns as they are."""
-    drawn = draw(docs, target, seed).where("draws > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "draws")
-    same = (F.col("d.doc_id").eqNullSafe(F.col("n._id")) & F.col("d.source").eqNullSafe(F.col("n._source"))
-            & (F.xxhash64("d.text") == F.col("n._hash")))
+    drawn = draw(docs, target, seed).where("draws > 0")
+    same = (F.col("d.doc_id").eqNullSafe(F.col("n.doc_id")) & F.col("d.source").eqNullSafe(F.col("n.source"))
+            & (F.xxhash64("d.text") == F.col("n.text_hash")))
+    turn = fresh(docs, "turn")
     rows = docs.alias("d").join(drawn.alias("n"), same)
-    return rows.select("d.*", F.explode(F.sequence(F.lit(1), F.col("n.draws"))).alias("_pass")).drop("_pass")
+    return rows.select("d.*", F.explode(F.sequence(F.lit(1), F.col("n.draws"))).alias(turn)).drop(turn)
 
 
 #: The registered query: weights of 0.99 of the largest entropy, as many tokens as there are.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from relayframe.llm import shingles as sh
 from relayframe.llm.components import components
-from relayframe.llm.tables import read
+from relayframe.llm.tables import fresh, read
 from relayframe.session import cut_lineage
 
 #: Coordinates in a band.
@@ -156,12 +156,13 @@ def one_of_each(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     Of repeated rows one stays. Rows without a doc_id stay, as no component can name them.
     """
-    kept = near_components(docs, size, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    name, again = fresh(docs, "kept"), fresh(docs, "again")
+    kept = near_components(docs, size, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     # Rows of one doc_id are in one task already; of those with one text the first stays.
     last = F.lag(F.xxhash64("text")).over(order)
-    named = named.withColumn("_again", F.coalesce(last == F.xxhash64("text"), F.lit(False))).where("NOT _again").drop("_again")
+    named = named.withColumn(again, F.coalesce(last == F.xxhash64("text"), F.lit(False))).where(~F.col(again)).drop(again)
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 

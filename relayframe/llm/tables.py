@@ -22,3 +22,11 @@ def ascii_lower(text: Column) -> Column:
 def columns_ddl(rows: DataFrame) -> str:
     """The columns of ``rows`` as the schema text of a map over them."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """``name``, or one like it that is no column of ``rows``."""
+    taken = {c.lower() for c in rows.columns}
+    while name in taken:
+        name += "_"
+    return name
