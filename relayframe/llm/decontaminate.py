@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -131,7 +132,7 @@ def _matches(batch: pa.RecordBatch, items: Items, least: float) -> Iterator[tupl
         order = np.lexsort((place, item, doc))
         where, item, place, doc = where[order], item[order], place[order], doc[order]
         pair = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
-        for a, b in zip(pair.tolist(), [*pair[1:].tolist(), len(doc)], strict=True):
+        for a, b in pairwise([*pair.tolist(), len(doc)]):
             n = items.sizes[item[a]]
             # Words of the item that any seed covers: no tiling covers more.
             step = np.diff(np.unique(place[a:b]))
