@@ -35,8 +35,14 @@ def message_uid(*parts) -> Column:
 
 
 def norm_name(name) -> Column:
-    """Names are compared in their blank-padded five-character form."""
-    return F.lpad(F.btrim(as_column(name)), L.NAME_WIDTH, " ")
+    """Names are compared in their form on the wire, padded to five characters; longer ones whole."""
+    name = F.btrim(as_column(name))
+    return F.when(F.length(name) > L.NAME_WIDTH, name).otherwise(F.lpad(name, L.NAME_WIDTH, " "))
+
+
+def fits_wire(name) -> Column:
+    """Whether a name has room in a frame; a longer one would be cut to another name there."""
+    return F.coalesce(F.octet_length(F.btrim(as_column(name))) <= L.NAME_WIDTH, F.lit(False))
 
 
 def frame_text(frame: Column, field: tuple[int, int]) -> Column:
@@ -50,6 +56,27 @@ def frame_number(frame: Column, field: tuple[int, int]) -> Column:
     return F.btrim(frame_text(frame, field)).try_cast("bigint")
 
 
+def malformed(frame: Column) -> Column:
+    """Whether a frame of type 2 to 5 has a field out of its range or unreadable.
+
+    Chunks: index 0 or more, and a length that their frame holds. Manifests: no negative size or
+    count, and no more chunks than bytes. Handshakes: capacity and port fit their columns, addresses
+    have 32 bits.
+    """
+    def outside(place: tuple[int, int], low, high) -> Column:
+        return ~F.coalesce(frame_number(frame, place).between(low, as_column(high)), F.lit(False))
+
+    room = (F.octet_length(frame) - L.DATA_OVERHEAD).cast("bigint")
+    total = F.coalesce(frame_number(frame, L.MANIFEST["total_bytes"]), F.lit(-1))
+    chunk = outside(L.CHUNK["chunk_index"], 0, 2**31 - 1) | outside(L.CHUNK["chunk_bytes"], 0, room)
+    manifest = (total < 0) | outside(L.MANIFEST["chunk_count"], 0, total)
+    handshake = (outside(L.HANDSHAKE["capacity"], 0, 2**31 - 1) | outside(L.HANDSHAKE["port"], 0, 2**31 - 1)
+                 | outside(L.HANDSHAKE["ipaddress"], 0, 2**32 - 1))
+    kind = frame_type(frame)
+    return (F.when(kind == L.padded(L.TYPE_CHUNK), chunk).when(kind == L.padded(L.TYPE_MANIFEST), manifest)
+            .when(kind.isin(L.padded(L.TYPE_REQUEST), L.padded(L.TYPE_REPLY)), handshake).otherwise(F.lit(False)))
+
+
 def frame_type(frame: Column) -> Column:
     return frame_text(frame, L.HEADER["frame_type"])
 

@@ -67,9 +67,10 @@ def decode_chunk(frames: DataFrame, column: str = "jobdata") -> DataFrame:
     """
     frame = F.col(column)
     fields = _numbers(frame, L.CHUNK)
-    size = F.greatest(fields["chunk_bytes"], F.lit(0)).cast("int")
-    fields["payload"] = F.substring(frame, F.lit(L.CHUNK_PAYLOAD_AT), size)
     room = (F.octet_length(frame) - L.DATA_OVERHEAD).cast("bigint")
+    # A false length reads what the frame has, and never fails.
+    size = F.greatest(F.least(fields["chunk_bytes"], room), F.lit(0)).cast("int")
+    fields["payload"] = F.substring(frame, F.lit(L.CHUNK_PAYLOAD_AT), size)
     fields["room"] = room
     fields["byte_offset"] = fields["chunk_index"] * room
     return _of_type(frames, column, L.TYPE_CHUNK).withColumns(fields)
@@ -92,9 +93,9 @@ def addressable(peers: DataFrame) -> DataFrame:
     """Negotiated peers that can carry a payload, one per name (the smallest capacity).
 
     Two peers of one name would otherwise get every chunk twice, and the row count
-    that completes a parent would never match.
+    that completes a parent would never match. Names that the wire would cut are left out.
     """
-    usable = peers.filter(F.col("system_capacity") > L.DATA_OVERHEAD)
+    usable = peers.filter((F.col("system_capacity") > L.DATA_OVERHEAD) & X.fits_wire(F.col("system_name")))
     return (
         usable.groupBy(F.col("system_name").alias("jdestination"))
         .agg(F.min("system_capacity").alias("system_capacity"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,24 +75,24 @@ def _row(counted: DataFrame, table: str, rule: str) -> DataFrame:
                           F.col("violations").cast("bigint").alias("violations"))
 
 
-def job_descendants(jobs: DataFrame, ancestors: DataFrame, max_depth: int = 64) -> DataFrame:
+def job_descendants(jobs: DataFrame, ancestors: DataFrame) -> DataFrame:
     """Everything below the given jobids: what deleting them would delete too.
 
-    One join per level; the root's edge to itself is left out. Levels are written,
-    so the plan does not grow, and the loop ends at the first empty level.
+    One join per level over narrow edges that are written once; the root's edge to itself is left
+    out. Levels are written too, so the plan does not grow, and the loop ends at the first empty
+    level, however deep. A job has one parent, so a path can only come back to where it began: an
+    ancestor in a cycle is not listed below itself, and its cycle ends there.
     """
-    edges = jobs.filter(F.col("jobid") != F.col("jparent_jobid")).select(
-        F.col("jparent_jobid").alias("above"), "jobid")
+    edges = cut_lineage(jobs.filter(F.col("jobid") != F.col("jparent_jobid")).select(
+        F.col("jparent_jobid").alias("above"), "jobid"), "edges")
     level = ancestors.select(F.col("jobid").alias("ancestor"), F.col("jobid").alias("above"))
     found = None
-    for depth in range(1, max_depth + 1):
-        below = join_lookup(edges, level, ["above"], spread_by=F.col("jobid")).select(
-            "ancestor", "jobid", F.lit(depth).alias("depth"))
+    for depth in count(1):
+        below = join_lookup(edges, level, ["above"], spread_by=F.col("jobid")).filter(
+            F.col("jobid") != F.col("ancestor")).select("ancestor", "jobid", F.lit(depth).alias("depth"))
         below = cut_lineage(below)
         if below.isEmpty():
             break
         found = below if found is None else found.unionByName(below)
         level = below.select("ancestor", F.col("jobid").alias("above"))
-    else:
-        raise ValueError(f"lineage deeper than {max_depth} levels: is there a cycle?")
     return below if found is None else found

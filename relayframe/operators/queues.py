@@ -25,6 +25,12 @@ def _destinations(peers: DataFrame, *columns: str) -> DataFrame:
     return peers.select(F.col("system_name").alias("jdestination"), *columns)
 
 
+def _one_route(routes: DataFrame, *columns: str) -> DataFrame:
+    """Of peers of one name the one with the smallest address: a message takes one route."""
+    return routes.groupBy("jdestination").agg(
+        *[F.min_by(c, "ipaddress").alias(c) for c in columns], F.min("ipaddress").alias("ipaddress"))
+
+
 def pending_with_conn(jobs: DataFrame, peers: DataFrame, out_conns: DataFrame) -> DataFrame:
     """Ready messages whose peer has an open connection, without their payload."""
     ready = jobs.filter(F.col("jstate") == L.READY).select(
@@ -32,7 +38,7 @@ def pending_with_conn(jobs: DataFrame, peers: DataFrame, out_conns: DataFrame) -
     opened = out_conns.filter(F.col("scstatus") == L.CONN_OPEN).select(
         F.col("sipaddr").alias("ipaddress"), "sfd")
     routes = _destinations(peers, "ipaddress").join(opened, "ipaddress")
-    return join_lookup(ready, routes, ["jdestination"], spread_by=F.col("jobid"))
+    return join_lookup(ready, _one_route(routes, "sfd"), ["jdestination"], spread_by=F.col("jobid"))
 
 
 def top_pending(pending: DataFrame, k: int = 1, per_peer: bool = False) -> DataFrame:
@@ -48,8 +54,8 @@ def pending_handshake(jobs: DataFrame, peers: DataFrame) -> DataFrame:
     """Handshake frames to send with the peer's communication port."""
     ready = jobs.filter(F.col("jstate") == L.HANDSHAKE_READY).select(
         "jobid", "jdestination", "jpriority", "jcreation_time")
-    return join_lookup(ready, _destinations(peers, "comssport", "ipaddress"),
-                       ["jdestination"], spread_by=F.col("jobid"))
+    routes = _one_route(_destinations(peers, "comssport", "ipaddress"), "comssport")
+    return join_lookup(ready, routes, ["jdestination"], spread_by=F.col("jobid"))
 
 
 def top_handshake(pending: DataFrame, k: int = 1) -> DataFrame:

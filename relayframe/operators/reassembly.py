@@ -18,18 +18,19 @@ GAP_BLOCK = 4096
 
 
 def _classified(jobs: DataFrame, kind: str) -> DataFrame:
-    """Classified frames of one type; the job table is partitioned by both columns."""
-    return jobs.filter(
-        (F.col("jstate") == L.CLASSIFIED) & (F.col("jtype") == L.padded(kind)))
+    """Classified well-formed frames of one type; the job table is partitioned by both columns."""
+    return jobs.filter((F.col("jstate") == L.CLASSIFIED) & (F.col("jtype") == L.padded(kind))
+                       & ~X.malformed(F.col("jobdata")))
 
 
 def chunk_keys(jobs: DataFrame) -> DataFrame:
-    """Message and index of every classified chunk, without its payload."""
+    """Message, index and length of every classified chunk, without its payload."""
     frame = F.col("jobdata")
     return (
         _classified(jobs, L.TYPE_CHUNK)
         .select(X.frame_text(frame, L.CHUNK["parent_id"]).alias("message_id"),
-                X.frame_number(frame, L.CHUNK["chunk_index"]).alias("chunk_index"))
+                X.frame_number(frame, L.CHUNK["chunk_index"]).alias("chunk_index"),
+                X.frame_number(frame, L.CHUNK["chunk_bytes"]).alias("chunk_bytes"))
     )
 
 
@@ -67,19 +68,21 @@ def incoming_complete(jobs: DataFrame, mode: str = "rows") -> DataFrame:
     """Manifests whose chunks have all arrived, one row per message.
 
     ``rows`` compares the number of chunk rows; ``distinct`` demands every index from
-    0 to count - 1. Both count per message ahead of the join.
+    0 to count - 1, and that their lengths add up to the manifest's size. Both count per message
+    ahead of the join.
     """
     keys = chunk_keys(jobs)
     if mode == "distinct":
-        keys = keys.distinct()
+        keys = keys.groupBy("message_id", "chunk_index").agg(F.min("chunk_bytes").alias("chunk_bytes"))
     arrived = keys.groupBy("message_id").agg(
-        F.count("*").alias("n_arrived"),
+        F.count("*").alias("n_arrived"), F.sum("chunk_bytes").alias("_bytes"),
         F.min("chunk_index").alias("_low"), F.max("chunk_index").alias("_high"))
     matched = manifests(jobs).join(arrived, "message_id").filter(
         F.col("chunk_count") == F.col("n_arrived"))
     if mode == "distinct":
         matched = matched.filter(
-            (F.col("_low") == 0) & (F.col("_high") == F.col("chunk_count") - 1))
+            (F.col("_low") == 0) & (F.col("_high") == F.col("chunk_count") - 1)
+            & (F.col("_bytes") == F.col("total_bytes")))
     return matched.select(
         "message_id", "total_bytes", "chunk_count", "source_name", "frame_bytes",
         F.col("_high").alias("last_index"))

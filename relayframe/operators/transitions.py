@@ -36,10 +36,9 @@ def dead_letter(jobs: DataFrame) -> DataFrame:
 
 
 def dead_letter_report(jobs: DataFrame) -> DataFrame:
-    """Why inbound rows are or would be dead: wrong digest or malformed handshake digits."""
+    """Why inbound rows are or would be dead: wrong digest, or a field that is out of range."""
     frame = F.col("jobdata")
-    reason = F.when(~X.digest_matches(frame), F.lit("digest")).when(
-        malformed_handshake(), F.lit("malformed"))
+    reason = F.when(~X.digest_matches(frame), F.lit("digest")).when(X.malformed(frame), F.lit("malformed"))
     return (
         jobs.filter(F.col("jstate").isin(L.RECEIVED, L.CLASSIFIED, L.DEAD))
         .select("jobid", "jstate", reason.alias("reason"))
@@ -67,11 +66,11 @@ def route_forward(jobs: DataFrame, node: Node) -> DataFrame:
 
 
 def classify_type(jobs: DataFrame) -> DataFrame:
-    """N-3 to N-4, with the type read from the frame."""
+    """N-3 to N-4, with the type read from the frame; malformed chunks and manifests to D."""
     here = F.col("jstate") == L.LOCAL
     return jobs.withColumns({
         "jtype": F.when(here, X.frame_type(F.col("jobdata"))).otherwise(F.col("jtype")),
-        "jstate": F.when(here, L.CLASSIFIED).otherwise(F.col("jstate")),
+        "jstate": F.when(here & malformed_data(), L.DEAD).when(here, L.CLASSIFIED).otherwise(F.col("jstate")),
     })
 
 
@@ -86,7 +85,7 @@ def advance_inbound(jobs: DataFrame, node: Node) -> DataFrame:
     away = routed & (target != node.name)
     return staged.select(*[
         {
-            "jstate": F.when(local, L.CLASSIFIED).when(away, L.ADMITTED)
+            "jstate": F.when(local & malformed_data(), L.DEAD).when(local, L.CLASSIFIED).when(away, L.ADMITTED)
             .when(F.col("jstate") == L.RECEIVED, L.DEAD).otherwise(F.col("jstate")).alias("jstate"),
             "jtype": F.when(local, X.frame_type(frame)).otherwise(F.col("jtype")).alias("jtype"),
             "jdestination": F.when(away, target).otherwise(
@@ -96,21 +95,16 @@ def advance_inbound(jobs: DataFrame, node: Node) -> DataFrame:
     ])
 
 
-def malformed_handshake() -> Column:
-    """True for a type 4 or 5 frame one of whose numbers cannot be read."""
+def malformed_data() -> Column:
+    """True for a chunk or manifest that could not be placed; it takes part in no message."""
     frame = F.col("jobdata")
-    kinds = [L.padded(L.TYPE_REQUEST), L.padded(L.TYPE_REPLY)]
-    unreadable = None
-    for place in L.HANDSHAKE.values():
-        bad = X.frame_number(frame, place).isNull()
-        unreadable = bad if unreadable is None else unreadable | bad
-    return X.frame_type(frame).isin(*kinds) & unreadable
+    return X.frame_type(frame).isin(L.padded(L.TYPE_CHUNK), L.padded(L.TYPE_MANIFEST)) & X.malformed(frame)
 
 
 def finish_handshake(jobs: DataFrame, kind: str) -> DataFrame:
-    """N-4 handshakes of one kind to C; those with malformed digits to D."""
+    """N-4 handshakes of one kind to C; malformed ones to D."""
     done = (F.col("jstate") == L.CLASSIFIED) & (F.col("jtype") == L.padded(kind))
-    return move(jobs, done, F.when(malformed_handshake(), L.DEAD).otherwise(F.lit(L.COMPLETE)))
+    return move(jobs, done, F.when(X.malformed(F.col("jobdata")), L.DEAD).otherwise(F.lit(L.COMPLETE)))
 
 
 # --- completion of sending parents ------------------------------------------------

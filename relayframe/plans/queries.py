@@ -59,8 +59,12 @@ def jobs_out(jobs: DataFrame) -> DataFrame:
 
 @query
 def import_files(spark, sf_dir):
-    found = file_io.import_files(spark, sf_dir, fx.t0(), glob="*.parquet")
-    name = F.regexp_extract("file_name", "([^/]+)$", 1).alias("file_name")
+    """Documents written out as a text file each, and imported."""
+    path = work_path(spark, "documents")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    fx.table(spark, sf_dir, "documents").select("doc_id", text).write.partitionBy("doc_id").text(path)
+    found = file_io.import_files(spark, path, fx.t0(), glob="*.txt", recursive=True)
+    name = F.regexp_extract("file_name", "doc_id=([^/]+)", 1).alias("file_name")
     return found.select(name, "n_bytes", md5_of("content", "content_md5"))
 
 
@@ -104,7 +108,7 @@ def append_logs(spark, sf_dir):
     text = wire.log_text("event ", F.col("event_id"), " of user ", F.col("user_id"), " : ",
                          F.col("event_type"))
     path = work_path(spark, "logs")
-    wire.append_logs(wire.as_logs(events, text, F.col("ts")), path)
+    wire.append_logs(wire.as_logs(events, text, F.col("ts"), key=("event_id",)), path)
     return spark.read.parquet(path).select("log", F.col("day").cast("string").alias("day"))
 
 

@@ -34,11 +34,14 @@ def build_session(app: str = "relayframe", master: str | None = None, **extra: s
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it; only where it is unset, as in tests on one machine, a
-    temporary folder is made and set for the rest of the session.
+    A cluster must set it: executors share no local folder. Only where it is unset and the session
+    runs in one process, as in tests, a temporary folder is made and set for the rest of it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="relayframe-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

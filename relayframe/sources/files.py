@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import frames as X
@@ -12,24 +12,42 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 
 def as_files(found: DataFrame, created_at) -> DataFrame:
     """``binaryFile`` rows as stored files; the size is kept so later steps need no content."""
-    name = F.regexp_replace("path", r"\Afile:/*", "/")
+    name = _file_name("path")
     return found.select(
         X.message_uid("file/", name).alias("file_id"), name.alias("file_name"), "content",
         F.col("length").alias("n_bytes"),
         X.as_column(created_at).cast("timestamp").alias("creation_time"))
 
 
-def import_files(spark: SparkSession, path: str, created_at, existing: DataFrame | None = None,
-                 glob: str | None = None) -> DataFrame:
-    """Files below a path, named by it. Names stored already are left out.
+def _file_name(path) -> Column:
+    return F.regexp_replace(path, r"\Afile:/*", "/")
 
-    One row per file; a file above 2 GB does not fit a row and fails the read. Spark's
-    file source lists no empty files, so they have to be added as rows.
+
+def _empty_files(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """The files that the source lists but gives no row for, as they have no bytes.
+
+    The listing is on the driver already, as Spark's file index holds every path there.
+    """
+    listed = spark.createDataFrame([(name,) for name in found.inputFiles()], "path string")
+    listed = listed.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"))
+    rows = found.select(_file_name("path").alias("name"))
+    return (listed.withColumn("name", _file_name("path")).join(rows, "name", "left_anti")
+            .select("path", F.lit(0).cast("bigint").alias("length"), F.lit("").cast("binary").alias("content")))
+
+
+def import_files(spark: SparkSession, path: str | list[str], created_at, existing: DataFrame | None = None,
+                 glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """Files below a path or several, named by it, empty ones too. Names stored already are left out.
+
+    One row per file; a file above 2 GB does not fit a row and fails the read.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = as_files(reader.load(path), created_at)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    found = reader.load(path)
+    files = as_files(found.select("path", "length", "content").unionByName(_empty_files(spark, found)), created_at)
     if existing is not None:
         files = files.join(existing.select("file_name"), "file_name", "left_anti").select(
             *files.columns)

@@ -80,9 +80,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a file stream."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option(
-        "pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # The table's own path, one file or a folder of part files: as a pattern, for a stream takes a
+    # path without one for a folder.
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def uid(*parts) -> Column:
@@ -248,7 +248,7 @@ def received_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- suppliers: negotiating peers -------------------------------------------------
 
 def supplier_name() -> Column:
-    return F.lpad(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")), L.NAME_WIDTH, " ")
+    return X.norm_name(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")))
 
 
 def supplier_ip() -> Column:
@@ -261,7 +261,7 @@ def handshake_frames(suppliers: DataFrame, kind: str) -> DataFrame:
         message_id=uid(key), message_type=kind, source=supplier_name(), destination="M3",
         priority=L.DEFAULT_PRIORITY, created_at=t0(), capacity=L.HANDSHAKE_BYTES,
         subheader=X.handshake_subheader((F.col("s_suppkey") % 128 + 1) * 512, 7001, supplier_ip()))
-    return suppliers.select(
+    return suppliers.filter(X.fits_wire(supplier_name())).select(
         key.alias("frame_key"), (F.col("s_suppkey") % 64).cast("int").alias("fd"),
         supplier_ip().alias("ipaddress"), frame.alias("jobdata"))
 
@@ -307,11 +307,12 @@ def lane_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (
         F.when(customer % 4 == 0, L.COMPLETE).when(F.col("o_orderstatus") == "O", L.READY)
         .when(F.col("o_orderstatus") == "P", L.HANDSHAKE_READY).otherwise(F.lit(L.DEAD)))
-    lane = F.concat(F.lit("S"), (customer % 1000).cast("string"))
+    n_suppliers = table(spark, sf_dir, "supplier").count()
+    lane = F.concat(F.lit("S"), (customer % n_suppliers).cast("string"))
     return jobs_from(
         table(spark, sf_dir, "orders"), jobid=uid("lane", F.col("o_orderkey")), jstate=state,
         jobdata=F.concat(F.lit("payload "), F.col("o_orderkey").cast("string")).cast("binary"),
-        jtype=F.lit(L.TYPE_CHUNK), jdestination=F.lpad(lane, L.NAME_WIDTH, " "),
+        jtype=F.lit(L.TYPE_CHUNK), jdestination=X.norm_name(lane),
         jpriority=F.substring("o_orderpriority", 1, 1), jcreation_time=F.col("o_orderdate"))
 
 
@@ -383,8 +384,9 @@ def _family_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- customers and events ---------------------------------------------------------
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connection commands; every fifth address has none."""
     kind = F.col("c_custkey") % 4
-    return table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 5 != 0).select(
         F.col("c_custkey").alias("scommid"),
         (F.lit(SUPPLIER_IP).cast("bigint") + F.col("c_custkey")).alias("mdata1"),
         F.lit(7001).alias("mdata2"),

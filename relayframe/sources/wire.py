@@ -66,21 +66,26 @@ def ingest_frames(frames: DataFrame, node: Node, received_at) -> DataFrame:
 
 def create_send_jobs(requests: DataFrame, files: DataFrame, node: Node, created_at
                      ) -> tuple[DataFrame, DataFrame]:
-    """Send jobs for files that exist, and the requests rejected because they do not.
+    """Send jobs for files that exist, and rejected requests with the reason.
 
-    ``requests``: request_id, file_name, destination.
+    ``requests``: request_id, file_name, destination. A destination longer than the wire's name field
+    would be cut to another peer's name there, so it is rejected.
     """
     names = files.select("file_name")
     spread = F.col("request_id")
     accepted = join_lookup(requests, names, ["file_name"], "left_semi", spread_by=spread)
     rejected = join_lookup(requests, names, ["file_name"], "left_anti", spread_by=spread)
     rejected = rejected.withColumn("reason", F.lit("no such file"))
+    sendable = X.fits_wire(F.col("destination"))
+    rejected = rejected.unionByName(
+        accepted.filter(~sendable).withColumn("reason", F.lit("name too long for the wire")))
+    accepted = accepted.filter(sendable)
     jobs = accepted.select(
         X.message_uid("send/", F.col("request_id")).alias("jobid"),
         F.col("file_name").cast("binary").alias("jobdata"), F.lit(L.REQUESTED).alias("jstate"),
         F.lit(L.padded(L.TYPE_SEND)).alias("jtype"), F.lit(node.name).alias("jsource"),
         F.lit(node.root_id).alias("jparent_jobid"),
-        F.lpad("destination", L.NAME_WIDTH, " ").alias("jdestination"),
+        X.norm_name(F.col("destination")).alias("jdestination"),
         F.lit(L.DEFAULT_PRIORITY).alias("jpriority"),
         X.as_column(created_at).cast("timestamp").alias("jcreation_time"))
     return jobs, rejected
@@ -91,10 +96,14 @@ def log_text(*parts) -> Column:
     return F.concat(*[X.as_column(part).cast("string") for part in parts])
 
 
-def as_logs(rows: DataFrame, text: Column, at) -> DataFrame:
-    """Log rows. The identifier follows from time and text."""
-    stamped = rows.select(text.alias("log"), X.as_column(at).cast("timestamp").alias("lgtime"))
-    return stamped.select(F.xxhash64("lgtime", "log").alias("logid"), "log", "lgtime")
+def as_logs(rows: DataFrame, text: Column, at, key: tuple[str, ...] | None = None) -> DataFrame:
+    """Log rows. The identifier follows from the row: its ``key`` columns, else all of them.
+
+    Equal texts at one time are two log rows with two identifiers, if their keys differ.
+    """
+    named = F.xxhash64(*(key or rows.columns), X.as_column(at).cast("timestamp"), text)
+    return rows.select(named.alias("logid"), text.alias("log"),
+                       X.as_column(at).cast("timestamp").alias("lgtime"))
 
 
 def append_logs(logs: DataFrame, path: str) -> None:
