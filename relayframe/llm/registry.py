@@ -19,5 +19,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_url_filter": urls.SQL_OP1,
     "op5_line_runs": lines.SQL_OP5,
 }

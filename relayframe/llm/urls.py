@@ -130,3 +130,60 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     judged = judge_urls(pages, rules, link_edges(pages))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _sql_host(url: str) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}')"
+
+
+def _sql_path(url: str) -> str:
+    return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+def _sql_node(url: str) -> str:
+    scheme = f"lower(regexp_extract({url}, '(?s)^(.*?)://', 1))"
+    return f"{scheme} || '://' || {_sql_host(url)} || regexp_extract({url}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+
+
+def _sql_fits(source: str) -> str:
+    return f"""SELECT url, rule, action FROM (SELECT DISTINCT url FROM {source} WHERE contains(url, '://')) u
+      JOIN rules r ON ({_sql_host('url')} = r.host OR ends_with({_sql_host('url')}, '.' || r.host))
+        AND starts_with({_sql_path('url')}, r.path)
+      QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(rule) DESC, action, rule) = 1"""
+
+
+#: What the query returns, with the closure of the links spelled out node by node.
+SQL_OP1 = rf"""
+WITH RECURSIVE rules AS (
+  SELECT *, host || path AS rule FROM (VALUES {', '.join(map(str, RULES))}) t(host, path, action)
+), targets AS (
+  SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1) AS target
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS tag FROM pages)
+  WHERE regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical\b')
+  UNION ALL
+  SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) AS tag FROM pages)
+  WHERE regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')
+), absolute AS (
+  SELECT url, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, {_sql_host('url')} AS host,
+    coalesce(nullif(regexp_extract({_sql_path('url')}, '(?s)^(.*/)', 1), ''), '/') AS folder, target FROM targets
+  WHERE target <> '' AND contains(url, '://')
+), links AS (
+  SELECT {_sql_node('url')} AS u, {_sql_node("full_url")} AS v FROM (SELECT *, CASE
+      WHEN contains(target, '://') THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
+      WHEN starts_with(target, '/') THEN scheme || '://' || host || target
+      ELSE scheme || '://' || host || folder || target END AS full_url FROM absolute)
+), both_ways AS (
+  SELECT u, v FROM links UNION SELECT v, u FROM links
+), reached AS (
+  SELECT u AS node, u AS other FROM both_ways UNION SELECT r.node, b.v FROM reached r JOIN both_ways b ON b.u = r.other
+), member_rules AS ({_sql_fits('(SELECT other AS url FROM reached)')}
+), carried AS (
+  SELECT node, min(action) AS action FROM reached JOIN member_rules ON url = other GROUP BY node
+), own AS ({_sql_fits('pages')})
+SELECT page_id, coalesce({_sql_host('p.url')}, '') AS host, coalesce({_sql_path('p.url')}, '') AS path, own.rule,
+  coalesce(own.action, carried.action, 'allow') AS verdict
+FROM pages p LEFT JOIN own ON own.url = p.url
+LEFT JOIN carried ON contains(p.url, '://') AND carried.node = {_sql_node('p.url')}
+"""

@@ -67,6 +67,26 @@ def test_blocks_reach_aliases_and_an_allow_goes_first(spark):
     assert found[1, "http://a.org/1#x"]["component"] == "http://a.org/1"
 
 
+def test_query_equals_sql_on_linked_pages(spark, tmp_path):
+    import duckdb
+
+    hosts = ["a.com", "www.example.com", "example.com", "x.net", "y.org", "Z.ORG"]
+    paths = ["/en/1", "/fr/2", "/es/3?q=1#f", "", "?x", "/a/b"]
+    rows = []
+    for i in range(60):
+        target = f"http://{hosts[i * 7 % 6]}{paths[i * 5 % 6]}" if i % 4 else ["/en/1", "//y.org/a/b", "q"][i % 3]
+        link = [f"<link rel='canonical' href='{target}'>", f'<meta http-equiv="refresh" content="1;URL={target}">', "", None][i % 4]
+        rows.append((i, f"HTTP://{hosts[i % 6]}{paths[i * i % 6]}", link))
+    rows += [(60, None, rows[0][2]), (61, "none", rows[0][2]), (None, rows[1][1], None),
+             (62, "http://q.org/1", "<link rel=canonical href=http://x.net/es/9>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((tuple(r) for r in urls.op1_url_filter(spark, str(tmp_path)).collect()), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(con.execute(urls.SQL_OP1).fetchall(), key=repr)
+    assert {r[-1] for r in got if r[3] is None} == {"allow", "block"}
+
+
 def test_empty_tables(spark):
     assert judged(spark, [], urls.RULES) == {}
     assert judged(spark, [page(1, "http://a.com/")], [])[1, "http://a.com/"]["verdict"] == "allow"
