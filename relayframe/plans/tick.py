@@ -63,8 +63,9 @@ def _negotiate(state: NodeState, tick: int) -> tuple[DataFrame, DataFrame, DataF
     """Peers after this tick's handshakes, the type 4 frames, and the capacity events."""
     node = state.node
     frame_kind = X.frame_type(F.col("jobdata"))
-    # The type test comes first: only handshakes pay for a digest here.
-    arrived = state.jobs.filter(F.col("jstate").isin(*INBOUND, L.CLASSIFIED)).filter(
+    # Movable rows only, so classified data frames at rest are not read; then the type test, so only
+    # handshakes pay for a digest here.
+    arrived = state.jobs.filter(F.expr(MOVABLE) & F.col("jstate").isin(*INBOUND, L.CLASSIFIED)).filter(
         frame_kind.isin(*HANDSHAKE_TYPES))
     classified = transitions.advance_inbound(arrived, node)
     requests = negotiate.handshakes(classified, L.TYPE_REQUEST)
