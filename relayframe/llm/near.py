@@ -23,8 +23,8 @@ from relayframe.llm.components import components
 from relayframe.llm.tables import fresh, read
 from relayframe.session import cut_lineage
 
-#: Coordinates in a band.
-ROWS = 8
+#: Coordinates in a band, and in a sketch, all of which count when candidates are compared.
+ROWS, COORDINATES = 8, 1024
 #: Pieces into which the partners of one document are split for verification.
 SALTS = 256
 _SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
@@ -37,8 +37,8 @@ def _sketcher(size: int, bands: int) -> Callable:
             for text in batch.column("text"):
                 found = sh.shingle_set(text.as_py() or "", size)
                 if len(found):
-                    sketch = sh.similarity_sketch(found, bands * ROWS)
-                    rows.append((len(found), sh.set_digest(found), sh.band_keys(sketch, ROWS), sh.sketch_bits(sketch)))
+                    sketch = sh.similarity_sketch(found, max(COORDINATES, bands * ROWS))
+                    rows.append((len(found), sh.set_digest(found), sh.band_keys(sketch[: bands * ROWS], ROWS), sh.sketch_bits(sketch)))
                 else:
                     rows.append((0, None, None, None))
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -91,10 +91,14 @@ def verify_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: in
 
 def _alike(a: str, b: str, percent: int, words: int) -> Column:
     """Whether sizes and sketch bits of two rows leave room for the similarity."""
-    least = sh.least_equal_bits(percent / 100, words * 64)
-    differ = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(words)), F.lit(0))
+    def different(i: int) -> Column:
+        x = F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    differ = sum((different(i) for i in range(words)), F.lit(0))
     return ((100 * F.least(f"{a}.n_shingles", f"{b}.n_shingles")
-             >= percent * F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")) & (differ <= words * 64 - least))
+             >= percent * F.greatest(f"{a}.n_shingles", f"{b}.n_shingles"))
+            & (differ <= sh.most_different(percent / 100, words * 32)))
 
 
 def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -107,21 +111,26 @@ def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     any doc_id has a null ``component_id``, and its rows are kept.
     """
     bands = sh.bands_needed(percent / 100, ROWS)
-    words = bands * ROWS // 64
+    words = max(COORDINATES, bands * ROWS) // 32
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = cut_lineage(rows.mapInArrow(_sketcher(size, bands), _SKETCH), "sketches")
     sets = sketched.where("n_shingles > 0")
     classes = cut_lineage(sets.where("doc_id IS NOT NULL").dropDuplicates(["digest"]), "classes")
     banded = classes.select("digest", F.explode("bands").alias("band"))
-    shared = (banded.groupBy("band").agg(F.min("digest").alias("hub"), F.max("digest").alias("most"))
-              .where("hub < most").select("band", "hub"))
+    shared = (banded.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high"),
+                                         F.count(F.lit(1)).alias("n")).where("low < high").select("band", "n"))
     members = cut_lineage(banded.join(shared, "band"), "members")
+    # The text that others were copied from shares more bands than any copy, so it is the hub.
+    degrees = members.groupBy("digest").agg(F.sum("n").alias("degree"))
+    hubs = (members.join(degrees, "digest").groupBy("band")
+            .agg(F.max(F.struct("degree", "digest")).alias("best")).select("band", F.col("best.digest").alias("hub")))
 
-    marks = classes.select("digest", "n_shingles", "bits")
+    marks = classes.select("digest", "n_shingles", "bits", "bands")
     near = marks.join(members.select("digest").distinct(), "digest", "left_semi")
     near = cut_lineage(near, "marks")
 
-    star = members.where("digest <> hub").select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct()
+    star = (members.join(hubs, "band").where("digest <> hub")
+            .select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct())
     x, y = near.alias("x"), near.alias("y")
     star = (star.join(x, F.col("a") == F.col("x.digest")).join(y, F.col("b") == F.col("y.digest"))
             .where(_alike("x", "y", percent, words)).select("a", "b"))
@@ -133,10 +142,14 @@ def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     placed = members.select("band", "digest").join(groups, "digest", "left").select("band", "digest", label.alias("label"))
     open_bands = (placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low < high").select("band"))
-    rest = cut_lineage(placed.join(open_bands, "band").join(near, "digest"), "open-members")
+    rest = placed.join(open_bands, "band").join(near, "digest").withColumn("at", F.array_position("bands", F.col("band")))
+    rest = cut_lineage(rest, "open-members")
     x, y = rest.alias("x"), rest.alias("y")
+    # A pair that shares several bands is met in the first of them only.
+    shared_at = F.array_position(F.zip_with("x.bands", "y.bands", lambda s, t: s == t), True)
     cross = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.digest") < F.col("y.digest"))
-                    & (F.col("x.label") != F.col("y.label")) & _alike("x", "y", percent, words))
+                    & (F.col("x.label") != F.col("y.label")) & _alike("x", "y", percent, words)
+                    & (shared_at == F.col("x.at")))
              .select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
              .join(star, ["a", "b"], "left_anti"))
     more = verify_pairs(cut_lineage(cross, "cross-pairs"), classes, rows, size, percent)

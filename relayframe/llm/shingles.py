@@ -97,12 +97,12 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketch_bits(sketch: np.ndarray) -> np.ndarray:
-    """One bit of each coordinate, in whole 64-bit words; coordinates beyond them are left out."""
-    whole = len(sketch) // 64 * 64
-    return np.packbits((sketch[:whole] & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    """Two bits of each coordinate, 32 coordinates to a word; those beyond whole words are left out."""
+    pairs = (sketch[: len(sketch) // 32 * 32] & np.uint64(3)).reshape(-1, 32)
+    return (pairs << (2 * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
-def least_equal_bits(similarity: float, n_bits: int, deviations: float = 4.5) -> int:
-    """Of ``n_bits`` bits, how many a pair of ``similarity`` shares but for ``deviations`` sigma."""
-    p = (1 + similarity) / 2
-    return math.floor(n_bits * p - deviations * math.sqrt(n_bits * p * (1 - p)))
+def most_different(similarity: float, n: int, deviations: float = 4.5) -> int:
+    """In how many of ``n`` bit pairs a pair of ``similarity`` differs, but for ``deviations`` sigma."""
+    p = (1 - similarity) * 3 / 4
+    return math.ceil(n * p + deviations * math.sqrt(n * p * (1 - p)))
