@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Ids between two checkpoints of a block.
-STEP = 512
+STEP = 128
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -43,15 +43,13 @@ def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
 
 
 def canonical_codes(lengths: np.ndarray) -> np.ndarray:
-    """Codes in order of (length, id), each one more than the last, shifted to its length."""
+    """Codes in order of (length, id), each one more than the last, at the top of 64 bits."""
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     codes = np.zeros(len(lengths), np.uint64)
-    if len(order):
-        depth = int(lengths.max())
-        ends = np.cumsum(np.uint64(1) << (depth - lengths[order].astype(np.uint64)))
-        starts = ends - (np.uint64(1) << (depth - lengths[order].astype(np.uint64)))
-        codes[order] = starts >> (depth - lengths[order].astype(np.uint64))
+    steps = np.uint64(1) << (np.uint64(64) - lengths[order].astype(np.uint64))
+    # The sum of all steps is 2**64 at most, so no start wraps.
+    codes[order] = np.cumsum(steps) - steps
     return codes
 
 
@@ -60,8 +58,9 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     depth = int(lengths.max()) if len(lengths) else 0
-    table = np.zeros(1 << depth, np.uint64)
-    entries = order.astype(np.uint64) << np.uint64(8) | lengths[order]
+    kind = np.uint32 if len(lengths) < 1 << 24 else np.uint64
+    table = np.zeros(1 << depth, kind)
+    entries = order.astype(kind) << kind(8) | lengths[order]
     filled = np.repeat(entries, np.int64(1) << (depth - lengths[order].astype(np.int64)))
     table[: len(filled)] = filled
     return table, depth
@@ -69,21 +68,22 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit stream of ``ids`` and the bit offset of every ``STEP``-th id."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    ids = ids.astype(np.intp)
+    size = lengths[ids]
+    ends = np.cumsum(size, dtype=np.int64)
     offsets = ends - size
     if not len(ids):
         return b"", offsets
-    code, word = codes[ids], offsets >> 6
-    shift = 64 - (offsets & 63) - size
-    over = shift < 0
-    here = np.where(over, code >> np.maximum(-shift, 0).astype(np.uint64),
-                    code << np.maximum(shift, 0).astype(np.uint64))
+    code, word, bit = codes[ids], offsets >> 6, (offsets & 63).astype(np.uint64)
     words = np.zeros(int(ends[-1] + 63 >> 6) + 1, np.uint64)
     starts = np.flatnonzero(np.diff(word, prepend=-1))
-    words[word[starts]] = np.bitwise_or.reduceat(here, starts)
-    at = np.flatnonzero(over)
-    words[word[at] + 1] |= code[at] << (64 + shift[at]).astype(np.uint64)
+    words[word[starts]] = np.bitwise_or.reduceat(code >> bit, starts)
+    # A code that does not end in its word goes on in the next.
+    at = starts[1:] - 1
+    at = at[(ends[at] & 63 != 0) & (word[at] != ends[at] >> 6)]
+    words[word[at] + 1] |= code[at] << (np.uint64(64) - bit[at])
+    if (ends[-1] - 1) >> 6 != word[-1]:
+        words[word[-1] + 1] |= code[-1] << (np.uint64(64) - bit[-1])
     return words.byteswap().tobytes()[: int(ends[-1] + 7 >> 3)], offsets[::STEP]
 
 
@@ -102,6 +102,6 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, d
             if not len(at):
                 break
         entry = table[(windows[at >> 3] >> (shift - (at & 7))) & mask]
-        out[k, : len(at)] = entry >> np.uint64(8)
-        at = at + (entry & np.uint64(255)).astype(np.int64)
+        out[k, : len(at)] = entry >> 8
+        at = at + (entry & 255)
     return out.T.reshape(-1)[:n]

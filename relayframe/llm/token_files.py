@@ -9,9 +9,12 @@ list the documents, ``payload`` is the bit stream, and ``checkpoints`` has the b
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +28,11 @@ from relayframe.session import work_path
 
 END_ID = 2
 #: Ids in a block, but for its last document, which is never split.
-BLOCK_IDS = 1 << 19
+BLOCK_IDS = 1 << 17
 #: Distinct pieces that a task remembers with their ids; beyond it the memory starts anew.
-CACHE_PIECES = 400_000
-#: Characters whose pieces are looked up together.
-CHARS_AT_ONCE = 1 << 20
+CACHE_PIECES = 500_000
+#: Pieces given to the tokenizer together, and documents handed on together.
+PIECES_AT_ONCE, ROWS_AT_ONCE = 2000, 200
 #: Longest code in bits, and two more than the ids need where that is longer.
 LIMIT = 18
 
@@ -38,6 +41,18 @@ LIMIT = 18
 #: precedes is a blank of the word's own or no letter, digit or apostrophe.
 _WORD = re.compile(r"((?: |(?<![\w']))[A-Za-zÀ-ÖØ-öø-ɏ]+(?![\w']))")
 
+#: The letters by which byte-level vocabularies spell bytes: printable ones by themselves, the rest,
+#: in order, by the code points from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+_BLANK = chr(_BYTE_LETTERS[32])
+
+
+@cache
+def _packing(n: int) -> Callable:
+    return struct.Struct(f"<{n}I").pack
+
 
 def tokenizer_json(path: str) -> str:
     """The tokenizer file's content; tasks get it with their code, so they need no such file."""
@@ -53,62 +68,63 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True
-        self.end_id = end_id
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {"": 0}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids, place = found.ids, len(self.places)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-            if place >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.starts[place], self.sizes[place] = self.used, len(ids)
-            self.used += len(ids)
-            self.places[piece] = place
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, the end id after them."""
-        if len(self.places) > CACHE_PIECES:
-            self._forget()
-        cut = [_WORD.split(text) for text in texts]
-        every = [piece for pieces in cut for piece in pieces]
-        new = list(set(every).difference(self.places))
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
-        sizes = self.sizes[places]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[places] - (ends - sizes), sizes)
-        ids = self.flat[at]
-        bounds = ends[np.cumsum([len(pieces) for pieces in cut]) - 1]
-        return [np.append(part, np.uint32(self.end_id)) for part in np.split(ids, bounds[:-1])]
+        self.model = self.tokenizer.model
+        self.end = np.array([end_id], "<u4").tobytes()
+        parts = json.loads(content)
+        pre = parts.get("pre_tokenizer") or {}
+        self.by_bytes = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
+                         and not pre.get("add_prefix_space") and parts["model"]["type"] == "BPE")
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, every: set[str]) -> None:
+        pieces = every.difference(self.known)
+        if len(self.known) + len(pieces) > CACHE_PIECES:
+            self.known, pieces = {}, every
+        others = []
+        for piece in pieces:
+            # A whole word is one piece to the tokenizer too, so its model gets it at once.
+            if self.by_bytes and _WORD.fullmatch(piece):
+                if piece.isascii():
+                    spelled = _BLANK + piece[1:] if piece[0] == " " else piece
+                else:
+                    spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = [token.id for token in self.model.tokenize(spelled)]
+                self.known[piece] = _packing(len(ids))(*ids)
+            else:
+                others.append(piece)
+        for at in range(0, len(others), PIECES_AT_ONCE):
+            some = others[at : at + PIECES_AT_ONCE]
+            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[piece] = _packing(len(found.ids))(*found.ids)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end id, as little-endian unsigned 32-bit integers."""
+        pieces = _WORD.split(text)
+        try:
+            return b"".join(map(self.known.__getitem__, pieces)) + self.end
+        except KeyError:
+            self._learn(set(pieces))
+        return b"".join(map(self.known.__getitem__, pieces)) + self.end
+
+
+@cache
+def _shared_encoder(content: str, end_id: int) -> PieceEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return PieceEncoder(content, end_id)
 
 
 def _encoder(content: str, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = PieceEncoder(content, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, seq = _shared_encoder(content, end_id), TaskContext.get().partitionId(), 0
         for batch in batches:
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
-            at = 0
-            while at < len(texts):
-                group, chars = [], 0
-                while at + len(group) < len(texts) and chars < CHARS_AT_ONCE:
-                    group.append(texts[at + len(group)].as_py() or "")
-                    chars += len(group[-1])
-                ids = [x.astype("<u4").tobytes() for x in encoder.encode(group)]
-                n = len(group)
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                ids = [encoder.encode(text.as_py() or "") for text in texts.slice(at, ROWS_AT_ONCE)]
+                n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
                      doc_ids.slice(at, n), pa.array(ids, pa.binary())], ["part", "seq", "doc_id", "ids"])
-                at, seq = at + n, seq + n
+                seq += n
 
     return run
 
@@ -128,11 +144,15 @@ def tokenize(docs: DataFrame, content: str, end_id: int = END_ID) -> DataFrame:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column("ids"):
-            found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(found) > len(total):
-                found, total = total, found
-            total[: len(found)] += found
+        column = batch.column("ids")
+        if not len(column):
+            continue
+        # The values of a binary column stand one after the other, from its first offset to its last.
+        offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+        found = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u4"))
+        if len(found) > len(total):
+            found, total = total, found
+        total[: len(found)] += found
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
@@ -199,8 +219,7 @@ def write_token_files(docs: DataFrame, path: str, content: str, end_id: int = EN
     lengths = huffman.code_lengths(counts, max(LIMIT, len(counts).bit_length() + 2))
     code = [(i, int(x)) for i, x in enumerate(lengths) if x]
     spark.createDataFrame(code, "id long, length int").coalesce(1).write.parquet(f"{path}/codes")
-    (tokens.mapInArrow(_packer(lengths), _BLOCK_DDL).write.option("compression", "uncompressed")
-     .parquet(f"{path}/blocks"))
+    tokens.mapInArrow(_packer(lengths), _BLOCK_DDL).write.parquet(f"{path}/blocks")
 
 
 def read_code(spark: SparkSession, path: str) -> np.ndarray:
