@@ -30,7 +30,7 @@ END_ID = 2
 #: Ids in a block, but for its last document, which is never split.
 BLOCK_IDS = 1 << 17
 #: Distinct pieces that a task remembers with their ids; beyond it the memory starts anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
 #: Pieces given to the tokenizer together, and documents handed on together.
 PIECES_AT_ONCE, ROWS_AT_ONCE = 2000, 200
 #: Longest code in bits, and two more than the ids need where that is longer.
@@ -76,24 +76,23 @@ class PieceEncoder:
                          and not pre.get("add_prefix_space") and parts["model"]["type"] == "BPE")
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, every: set[str]) -> None:
-        pieces = every.difference(self.known)
-        if len(self.known) + len(pieces) > CACHE_PIECES:
-            self.known, pieces = {}, every
-        others = []
-        for piece in pieces:
-            # A whole word is one piece to the tokenizer too, so its model gets it at once.
-            if self.by_bytes and _WORD.fullmatch(piece):
-                if piece.isascii():
-                    spelled = _BLANK + piece[1:] if piece[0] == " " else piece
-                else:
-                    spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                ids = [token.id for token in self.model.tokenize(spelled)]
-                self.known[piece] = _packing(len(ids))(*ids)
+    def _learn(self, words: set[str], others: set[str]) -> None:
+        new, rest = words.difference(self.known), others.difference(self.known)
+        if len(self.known) + len(new) + len(rest) > CACHE_PIECES:
+            self.known, new, rest = {}, words, others
+        if not self.by_bytes:
+            new, rest = set(), new | rest
+        # A whole word is one piece to the tokenizer too, so its model gets it at once.
+        for piece in new:
+            if piece.isascii():
+                spelled = _BLANK + piece[1:] if piece[0] == " " else piece
             else:
-                others.append(piece)
-        for at in range(0, len(others), PIECES_AT_ONCE):
-            some = others[at : at + PIECES_AT_ONCE]
+                spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = [token.id for token in self.model.tokenize(spelled)]
+            self.known[piece] = _packing(len(ids))(*ids)
+        listed = list(rest)
+        for at in range(0, len(listed), PIECES_AT_ONCE):
+            some = listed[at : at + PIECES_AT_ONCE]
             for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.known[piece] = _packing(len(found.ids))(*found.ids)
 
@@ -103,7 +102,7 @@ class PieceEncoder:
         try:
             return b"".join(map(self.known.__getitem__, pieces)) + self.end
         except KeyError:
-            self._learn(set(pieces))
+            self._learn(set(pieces[1::2]), set(pieces[::2]))  # words stand between what is none
         return b"".join(map(self.known.__getitem__, pieces)) + self.end
 
 
