@@ -38,8 +38,9 @@ LIMIT = 18
 
 #: Whole words of Latin letters, with the one blank before them. The tokenizer's own split always
 #: cuts at both ends of such a word: what follows is no letter, digit or apostrophe, and what
-#: precedes is a blank of the word's own or no letter, digit or apostrophe.
-_WORD = re.compile(r"((?: |(?<![\w']))[A-Za-zÀ-ÖØ-öø-ɏ]+(?![\w']))")
+#: precedes is a blank of the word's own or no letter, digit or apostrophe. A run of blanks gives its
+#: last one to what follows, so a word right behind a run that does not end in U+0020 stays with it.
+_WORD = re.compile(r"((?: |(?<![\w'])(?<!\s[^\S ]))[A-Za-zÀ-ÖØ-öø-ɏ]+(?![\w']))")
 
 #: The letters by which byte-level vocabularies spell bytes: printable ones by themselves, the rest,
 #: in order, by the code points from 256 on.

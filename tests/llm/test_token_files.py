@@ -62,6 +62,19 @@ def test_pieces_encode_as_whole_texts(tokenizer, monkeypatch):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text
 
 
+def test_runs_of_blanks_before_words_encode_as_whole_texts(tokenizer):
+    encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
+    blanks = [chr(i) for i in range(0x3001) if chr(i).isspace()] + ["\u200b", "\u180e", "\ufeff"]
+    rng = np.random.default_rng(7)
+    texts = ["\n\nword", "x\n\nword", "a.\n\nb c", "x\r\n\r\nword more", "x\xa0\xa0word", "x \n\tword", "x\n\n word's", "x\n\nword's"]
+    texts += [f"x{a}{b}word{a}{b}{a}y" for a in blanks for b in blanks]
+    pieces = [*blanks, " ", " ", "\n", "\n", "word", "Été", "x", "中", "7", "'", "'s", "."]
+    texts += ["".join(rng.choice(pieces, rng.integers(1, 30))) for _ in range(5000)]
+    for text in texts:
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text
+
+
 def test_files_round_trip(spark, folder, tokenizer, monkeypatch):
     monkeypatch.setattr(tf, "BLOCK_IDS", 300)
     rows = [(i * 3 - 50, f"{text} {i}") for i, text in enumerate(HARD * 5)] + [(None, "no id"), (4000, None), (4001, ""), (7, "tie"), (7, "a tie")]
