@@ -23,8 +23,14 @@ from relayframe.llm.tables import columns_ddl, read
 #: Fixed values of HTML: elements by how they are read and shown.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist "
+UNSEEN = set("head script style template title noscript iframe noembed noframes object audio video canvas datalist "
              "source track".split())
+#: Fixed values of SVG and MathML: what they hold without showing it where it stands.
+UNSEEN_IN = {"svg": set("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient "
+                        "filter".split()),
+             "math": {"annotation", "annotation-xml", "mphantom"}}
+#: These and what holds HTML inside them; a piece of text in a drawing is a block of its own.
+FOREIGN = {*UNSEEN_IN, "foreignobject"}
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure menu".split())
 BLOCKS = SPACED | set("html body div section article aside header footer nav main address form fieldset legend details "
                       "summary dialog hgroup search figcaption li dt dd tr caption thead tbody tfoot td th option "
@@ -45,23 +51,51 @@ END_BOUNDS = {"table": {"template"}} | {x: {"table", "template"} for x in "td th
 
 _TOKEN = re.compile(r"""<!--(?:>|->)?.*?(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"""
                     r"""(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>|<[!?/][^>]*>""", re.S)
-_HIDDEN = re.compile(r"""(?:^|[\s"'])hidden(?=[\s=/"']|$)|display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)"""
-                     r"""|(?:^|\s)type\s*=\s*["']?hidden""", re.I)
-_SPAN = re.compile(r"""colspan\s*=\s*["']?(\d{1,3})""", re.I)
-_START = re.compile(r"""(?:^|\s)start\s*=\s*["']?(-?\d{1,9})""", re.I)
+_ATTR = re.compile(r"""([^ \t\n\r\f/>=][^ \t\n\r\f/>=]*)(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>]+)))?""")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARATION = re.compile(r"""(?:[^;"'(]++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|\([^)]*+(?:\)|\Z))++""")
+_SPAN = re.compile(r"\s*(\d{1,3})")
+_START = re.compile(r"\s*(-?\d{1,9})")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
+        self.tag, self.attrs, self.children = tag, attrs or {}, []
+
+
+def attributes(written: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts, one without value is empty."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTR.findall(written):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def hides(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element's own attributes hide it with all in it."""
+    if "hidden" in attrs or (tag == "input" and attrs.get("type", "").strip().lower() == "hidden"):
+        return True
+    if "style" not in attrs:
+        return False
+    # The last declaration of a property counts, an important one before others.
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in _DECLARATION.findall(_COMMENT.sub(" ", attrs["style"])):
+        name, _, value = declaration.partition(":")
+        name, (value, mark, rest) = name.strip().lower(), value.strip().lower().partition("!")
+        strong = bool(mark) and rest.strip() == "important"
+        if value.strip() and (strong or not found.get(name, (False, ""))[0]):
+            found[name] = strong, value.strip()
+    return (found.get("display", (False, ""))[1] == "none"
+            or found.get("visibility", (False, ""))[1] in ("hidden", "collapse"))
 
 
 def tree(page: str) -> Node:
     """The element tree of a page; strings are text."""
     root = Node("html")
+    whole: dict[str, dict[str, str]] = {"html": {}, "body": {}}
     stack, at = [root], 0
     n_open: Counter[str] = Counter()
 
@@ -95,7 +129,7 @@ def tree(page: str) -> Node:
             continue
         if tag in ("html", "body"):
             cut({"head"}, set())
-            root.attrs += " " + m["attrs"]
+            whole[tag] = attributes(m["attrs"]) | whole[tag]
             continue
         if tag in CLOSES_P:
             cut({"p"}, BOUNDS | {"button", "object"})
@@ -103,16 +137,19 @@ def tree(page: str) -> Node:
             cut(*ENDS[tag], every=True)
         if len(stack) > 1 and stack[-1].tag == "head" and tag not in RAW | VOID | {"noscript", "template", "head"}:
             cut({"head"}, set())
-        node = Node(tag, m["attrs"])
+        node = Node(tag, attributes(m["attrs"]))
         stack[-1].children.append(node)
+        if m["attrs"].endswith("/") and (tag in UNSEEN_IN or any(n_open[x] for x in UNSEEN_IN)):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
             raw = page[at : end.start() if end else len(page)]
             node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not (m["attrs"].endswith("/") and tag in ("svg", "math", "path")):
+        elif tag not in VOID:
             stack.append(node)
             n_open[tag] += 1
+    root.attrs = next((attrs for attrs in whole.values() if hides("html", attrs)), {})
     return root
 
 
@@ -193,6 +230,7 @@ def render(page: str) -> str:
     outer: list[Lines] = []
     tables: list[list] = []
     lists: list[list] = []
+    foreign: list[str] = []
     pre = 0
     todo: list[tuple[Node | str, bool]] = [(tree(page), False)]
     while todo:
@@ -203,9 +241,11 @@ def render(page: str) -> str:
         tag = node.tag
         cell = tag in ("td", "th") and bool(tables)
         if not leaving:
-            if tag in UNSEEN or (node.attrs and _HIDDEN.search(node.attrs)) or (
-                    tag == "dialog" and "open" not in node.attrs.lower()):
+            if tag in UNSEEN or (node.attrs and hides(tag, node.attrs)) or (
+                    tag == "dialog" and "open" not in node.attrs) or (foreign and tag in UNSEEN_IN.get(foreign[-1], ())):
                 continue
+            if tag in FOREIGN:
+                foreign.append(tag)
             if tag == "br":
                 out.end_line(True)
                 continue
@@ -216,13 +256,13 @@ def render(page: str) -> str:
                 out = Lines()
             elif tag == "tr" and tables:
                 tables[-1].append([])
-            elif tag in BLOCKS:
+            elif tag in BLOCKS or (tag == "text" and foreign):
                 nested = tag in ("ul", "ol", "menu") and bool(lists)
                 out.break_block(1 if tag in SPACED and not nested else 0)
             if tag == "table":
                 tables.append([])
             elif tag in ("ul", "ol", "menu"):
-                start = _START.search(node.attrs)
+                start = _START.match(node.attrs.get("start", ""))
                 lists.append([tag == "ol", int(start[1]) if start else 1])
             elif tag == "li":
                 mark = "- "
@@ -237,17 +277,19 @@ def render(page: str) -> str:
             todo.append((node, True))
             todo += [(child, False) for child in reversed(node.children)]
             continue
+        if tag in FOREIGN:
+            foreign.pop()
         pre -= tag in ("pre", "textarea")
         if cell:
             lines, out = out.done(), outer.pop()
-            span = _SPAN.search(node.attrs)
+            span = _SPAN.match(node.attrs.get("colspan", ""))
             tables[-1][-1].append((lines, max(1, int(span[1])) if span else 1))
             continue
         if tag == "table":
             for line in _table(tables.pop()):
                 out.end_line()
                 out.parts = [line]
-        if tag in BLOCKS and not (tag == "tr" and tables):
+        if (tag in BLOCKS and not (tag == "tr" and tables)) or (tag == "text" and foreign):
             nested = tag in ("ul", "ol", "menu") and len(lists) > 1
             out.break_block(1 if tag in SPACED and not nested else 0)
         if tag in ("ul", "ol", "menu"):

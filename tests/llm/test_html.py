@@ -22,6 +22,34 @@ def test_layout(page, text):
     assert html.render(page) == text
 
 
+@pytest.mark.parametrize("attrs", [
+    'style="overflow: hidden"', 'style="overflow-x:hidden"', 'style="backface-visibility: hidden"', 'title="the hidden city"',
+    'alt="Hidden"', 'data-state="hidden"', 'class="lg:block hidden"', 'data-hidden', 'title="display: none"', "class='hidden'",
+    'style="display: none; display: block"', 'style="background: url(x;display:none)"', 'style="/* display: none */ color: red"',
+    'type=hidden', 'title=">hidden<"', 'style="color:red" style="display:none"', 'style="--display: none"'])
+def test_values_that_only_mention_hiding_show(attrs):
+    assert html.render(f"<div {attrs}>seen</div>") == "seen"
+    assert html.render(f"<html><body {attrs}>seen") == "seen"
+
+
+@pytest.mark.parametrize("attrs", [
+    "hidden", "HIDDEN=''", 'hidden="until-found"', "class=a hidden", "hidden/", "style=display:none", 'style="color:red;DISPLAY : None"',
+    'style="display:none !important; display:block"', "style='visibility: collapse'", 'style="visibility:hidden;"', 'title="a>b" hidden',
+    'style="display&#58;none"', 'style="font: \'a;b\'; display: none"'])
+def test_hidden_elements_stay_hidden(attrs):
+    assert html.render(f"<div {attrs}>no</div>") == ""
+    assert html.render(f"<html lang=en style='color:red'><body {attrs}>no") == ""
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> b", "a x=2 b"),
+    ("<svg><title>t</title><defs/><style/><rect/><text>one</text><text x=1>two</text><defs><text>no</text></defs></svg>z", "one\ntwo\nz"),
+    ("<svg><foreignObject><desc>d</desc><p>in</p></foreignObject></svg>", "d\n\nin"), ("<dialog class=opened>no</dialog>x", "x"),
+    ("<dialog open>yes</dialog>", "yes"), ("<ol data-x='start=5'><li>a</ol>", "1. a"), ("<text>a</text><text>b</text>", "ab")])
+def test_drawings_formulas_and_named_attributes(page, text):
+    assert html.render(page) == text
+
+
 def test_long_and_deep_pages():
     assert html.render("<div>" * 20_000 + "deep" + "</x>" * 20_000) == "deep"
     assert html.render("<p>w" * 20_000).count("w") == 20_000
