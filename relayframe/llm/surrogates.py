@@ -6,15 +6,17 @@ first names), and a keyed cyclic permutation of all numbers of that format gives
 So one entity has one surrogate wherever it stands and however it is punctuated, two entities
 never share one, and none stays as it is; a surrogate that would read as another kind is
 passed over along the cycle. ``checked_salt`` verifies this over all entities of a corpus.
+Letters and digits of any script vary; of punctuation only that of a secret that has nothing else.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +42,15 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Herrn": "
 #: Letters that replace each other, vowels and consonants of an alphabet apart.
 ALPHABETS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "àâäáãå", "éèêë", "íìîï", "óòôöõ", "úùûü", "çñ", "аеёиоуыэюя",
              "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ", "0123456789"]
-_CLASS = {c: letters for letters in ALPHABETS for c in letters}
+#: The letters of names that are in none of these; upper case is listed where it differs in kind.
+_OTHERS = ["æðøýþÿ", "ÆÐØÝÞ", "ъь", "ЪЬ", "ΰςϊϋ"]
+_CLASS = {c: letters for x in ALPHABETS for letters in (x.upper(), x) for c in letters} | {
+    c: letters for letters in _OTHERS for c in letters}
+_MARKS = "!#$%&()*+,-./:;=?@[\\]^_`{|}~"
+#: A value that stands for a secret without telling it, or a ruled line.
+_MASKED = re.compile(r"(?:AKIA|gh[opsu]_|sk-)?[*•●○◦∙·…▪■█×_\-=.#~]+[,;:)\]}|]*")
+#: Salts tried before it is said that none helps.
+SALTS = 20
 _GENDER = {name: key for key, names in FIRST_NAMES.items() for name in names}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -80,6 +90,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             continue
         for m in pattern.finditer(text):
             group = next((g for g in ("x", "y") if g in pattern.groupindex and m[g]), 0)
+            if kind == "secret" and _MASKED.fullmatch(m[group]):
+                continue
+            if kind == "email" and not any(map(str.isalnum, m[0].rpartition(".")[0])):
+                continue
             gender = TITLES.get(m["title"], "") if kind == "name" and m["title"] else ""
             found.append((*m.span(group), kind, gender))
     rank = {kind: i for i, kind in enumerate(KINDS)}
@@ -134,6 +148,47 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _kind_of_char(c: str) -> tuple:
+    cased = len(c.upper()) == 1 and c.upper().lower() == c
+    return ord(c) >> 8, unicodedata.category(c), c.lower() == c, cased
+
+
+def _varies(c: str) -> bool:
+    return not (c.isascii() or c in _CLASS or c.isspace() or "\ud800" <= c <= "\udfff")
+
+
+def _block(c: str) -> str:
+    first, own = ord(c) & ~255, _kind_of_char(c)
+    return "".join(x for x in map(chr, range(first, first + 256)) if _varies(x) and _kind_of_char(x) == own)
+
+
+@cache
+def _single() -> dict[tuple, str]:
+    """The characters that are the only ones of their kind in their block, by what else they share."""
+    found: dict[tuple, str] = {}
+    for first in range(0, 0x110000, 256):
+        kinds: dict[tuple, str] = {}
+        for c in filter(_varies, map(chr, range(first, first + 256))):
+            own = _kind_of_char(c)
+            kinds[own] = kinds.get(own, "") + c
+        for own, chars in kinds.items():
+            if len(chars) == 1:
+                found[own[1:]] = found.get(own[1:], "") + chars
+    return found
+
+
+@lru_cache(maxsize=1 << 12)
+def _letters(c: str) -> str | None:
+    """What may replace a character: its alphabet, else the others of its kind in its block of 256
+    code points, or, if it is the only one there, those of which the same is true."""
+    if not _varies(c):
+        return _CLASS.get(c)
+    letters = _block(c)
+    if len(letters) < 2:
+        letters = _single()[_kind_of_char(c)[1:]]
+    return letters if len(letters) > 1 else None
+
+
 def _shape(kind: str, text: str) -> list[str | None]:
     """For each character of a normal form the characters that may stand there; None is fixed."""
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
@@ -146,8 +201,10 @@ def _shape(kind: str, text: str) -> list[str | None]:
         head = 1 + len(re.match(r"\+(1|7|\d{2})", text)[1])
     out: list[str | None] = []
     for i, c in enumerate(text):
-        letters = _CLASS.get(c) or (_CLASS[c.lower()].upper() if c.lower() in _CLASS else None)
+        letters = _CLASS.get(c) if kind == "last" else _letters(c)
         out.append(letters if head <= i < len(text) - fixed else None)
+    if kind == "secret" and not any(out):
+        out = [_MARKS if i >= head and c in _MARKS else None for i, c in enumerate(text)]
     return out
 
 
@@ -177,7 +234,9 @@ def _permuted(kind: str, text: str, key: bytes, fits: Callable[[str], bool] = la
 def normal(kind: str, text: str) -> str:
     """The form in which mentions of one entity are equal."""
     if kind == "email":
-        return text.lower()
+        return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    if kind == "ip":
+        return ".".join(str(int(x)) for x in text.split("."))
     if kind in ("phone", "ssn", "card"):
         return re.sub(r"[^\d+]", "", text)
     return text.replace(" ", "") if kind == "iban" else text
@@ -213,6 +272,8 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
     if kind == "email":
         local, _, domain = text.partition("@")
         return f"{_permuted('local', local, key)}@{_permuted('email', domain, key)}"
+    if kind == "secret":
+        return _permuted(kind, text, key, lambda y: not _MASKED.fullmatch(y))
     return _permuted(kind, text, key)
 
 
@@ -251,19 +312,22 @@ def _mentions(key: bytes) -> Callable:
 
 
 def checked_salt(docs: DataFrame, key: bytes) -> bytes:
-    """The key, salted anew while two entities of ``docs`` share a surrogate or one keeps its own.
+    """The key, salted anew while two entities of ``docs`` share a surrogate.
 
-    Entities meet by keyed digests of themselves and their surrogates; the driver gets a count.
+    Entities meet by keyed digests of themselves and their surrogates; the driver gets two counts.
+    ValueError if an entity is its own surrogate, which no salt changes, or if ``SALTS`` salts do not help.
     """
-    salt = 0
-    while True:
+    for salt in range(SALTS):
         salted = hashlib.blake2b(salt.to_bytes(4, "big"), key=key[:64], digest_size=32).digest()
         pairs = docs.select("text").mapInArrow(_mentions(salted), "entity binary, surrogate binary").distinct()
         shared = pairs.groupBy("surrogate").agg(F.min("entity").alias("a"), F.max("entity").alias("b"),
                                                 F.max(F.col("entity") == F.col("surrogate")).alias("same"))
-        if not shared.where("a < b OR same").count():
+        n_shared, n_same = shared.agg(F.count_if(F.expr("a < b")), F.count_if("same")).first()
+        if n_same:
+            raise ValueError(f"{n_same} entities have no character that can be replaced")
+        if not n_shared:
             return salted
-        salt += 1
+    raise ValueError(f"{n_shared} surrogates are shared under each of {SALTS} salts")
 
 
 _COLUMNS = "surrogate_text string, n_entities long, kinds array<string>"

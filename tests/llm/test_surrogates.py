@@ -57,6 +57,52 @@ def test_surrogates_are_distinct():
     assert len({s.surrogate("ip", x, KEY) for x in ips}) == 2000
 
 
+@pytest.mark.parametrize("secret", ["秘密のパスワード", "!@$%^&!@", "пароль1ъ", "🔑🔒🔓🔑🔒🔓", "كلمةالسر", "\ue000" * 6, "\u212a" * 6, "ªªªªªª", "한국어비밀번호", "İİİİİİ"])
+def test_secrets_of_any_characters_are_replaced(secret):
+    out, ((kind, entity, other),) = s.replace(f"Password: {secret} end", KEY)
+    assert kind == "secret" and entity == secret and len(other) == len(secret) and out == f"Password: {other} end"
+    assert other != secret and [k for *_, k, _ in s.find(out)] == ["secret"]
+    others, x = set(), secret
+    for _ in range(30):
+        x = s.surrogate("secret", x, KEY)
+        others.add(x)
+    assert len(others) == 30
+
+
+@pytest.mark.parametrize("text", ["Password: ********", "password=••••••••", "token = ******.", "Password:\n========", "%@-.com", "secret: ●●●●●●),"])
+def test_masked_values_are_none(text):
+    assert s.find(text) == [] and s.replace(text, KEY) == (text, [])
+
+
+def test_letters_outside_the_alphabets():
+    for text in ("Mr Ðþ", "Herr Ъь", "用户@a.com", "İx@a.com", "+٣٣ ١٢٣ ٤٥٦ ٧٨٩", "Mrs Ÿý"):
+        out, done = s.replace(text, KEY)
+        for kind, entity, other in done:
+            assert entity != other and len(entity) == len(other), text
+        assert not any(c in out for c in "用户")
+    assert s.replace("1.2.3.4", KEY)[1] == s.replace("1.2.3.٤", KEY)[1]
+
+
+def test_the_check_ends(spark, monkeypatch):
+    docs = spark.createDataFrame([("Password: ********",), ("Secret: 秘密のパスワード",), ("at 1.2.3.4 or 1.2.3.٤",)], "text string")
+    assert s.pseudonymize(docs, KEY).agg({"n_entities": "sum"}).first()[0] == 3
+
+    def bad(pairs):
+        def run(batches):
+            import pyarrow as pa
+            for _ in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["entity", "surrogate"])
+        return lambda key: run
+
+    monkeypatch.setattr(s, "SALTS", 2)
+    monkeypatch.setattr(s, "_mentions", bad([[b"1"], [b"1"]]))
+    with pytest.raises(ValueError, match="no character"):
+        s.checked_salt(docs, KEY)
+    monkeypatch.setattr(s, "_mentions", bad([[b"1", b"2"], [b"3", b"3"]]))
+    with pytest.raises(ValueError, match="2 salts"):
+        s.checked_salt(docs, KEY)
+
+
 def test_documents(spark):
     rows = [(1, "mail a@b.org", "k"), (1, "mail a@b.org", "k"), (2, None, "k"), (3, "", "k"), (None, "a@b.org", "k"),
             (4, "plain words only", "k"), (5, "c@d.org " * 5000, "k")]
