@@ -16,12 +16,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents of a learned language: those without a letter, and those whose words speak
-    for their language no more than chance would, go."""
-    model = langid.learn(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))))
+    """Keeps documents of a learned language: those without a letter, those in a script that none of
+    them uses, and those that score below ``langid.bar`` go."""
+    learned = docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id")))
+    model = langid.learn(learned)
     found = langid.predict(docs.select(*COLUMNS), model)
-    chance = 1 / max(1, len(model.langs))
-    sure = (F.col("score") > chance) if len(model.langs) > 1 else F.lit(True)
+    sure = F.col("score") > langid.bar(learned, model)
     return found.where((F.col("lang_pred") != langid.UNDETERMINED) & sure).select(*COLUMNS)
 
 

@@ -231,6 +231,7 @@ def label_texts(texts: list[str], model: Model) -> list[tuple[str, float, list]]
     pred = letters.argmax(axis=1)
     share = np.exp(scores)
     share = share[np.arange(len(labels)), pred[words.text]] / share.sum(axis=1)
+    share[~model.uses[words.script].any(axis=1)] = 0
     sure = np.bincount(words.text, share * words.size, minlength=len(texts)) / np.maximum(letters.sum(axis=1), 1)
     heads = np.flatnonzero(np.diff(words.text * langs + labels, prepend=-1))
     tails = np.append(heads[1:], len(labels)) - 1
@@ -258,15 +259,31 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``spans``, from ``text`` alone.
 
     The prediction is the language with most letters on the best path, the score the share that
-    it gets of each word, averaged over letters. Null texts and texts without a letter give
-    ``und``, score 0 and no spans; so does everything if nothing was learned. Columns of ``docs``
-    with one of the three names are replaced.
+    it gets of each word, averaged over letters; a word in a script of no learned language gives 0.
+    Null texts and texts without a letter give ``und``, score 0 and no spans; so does everything if
+    nothing was learned. Columns of ``docs`` with one of the three names are replaced.
     """
     rows = docs.drop("lang_pred", "score", "spans")
     ddl = "lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
     return rows.mapInArrow(_predictor(model), f"{columns_ddl(rows)}, {ddl}")
 
 
+def bar(labelled: DataFrame, model: Model) -> float:
+    """The score that a text must exceed to be in a learned language.
+
+    It lies halfway between chance and the lowest score of the ``labelled`` rows (text, lang) whose label
+    is found, so these all stay while they score above chance. With one language, whose
+    share of a word is all or nothing, it is 0.
+    """
+    n = len(model.langs)
+    if n < 2:
+        return 0.0
+    found = predict(labelled.select("text", "lang"), model).where("lang_pred = lang")
+    lowest = found.agg(F.min("score")).first()[0]
+    # Equal shares of single precision do not add up to 1 / n exactly.
+    return 1 / n + max(1e-6, ((lowest or 0.0) - 1 / n) / 2)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the doc_id as text leaves 2 of 4; false for null."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

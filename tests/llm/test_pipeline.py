@@ -41,6 +41,25 @@ def test_language_keeps_prose(spark, steps):
     assert len(after) >= 0.99 * len(before)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_texts_in_a_script_of_no_learned_language_go(spark, n):
+    words = ["the and with that", "der und nicht das", "los que una por", "les des dans pour", "il che della sono", "och att det som"]
+    docs = [(i, f"{words[i % n]} " * 9, f"l{i % n}") for i in range(40)]
+    odd = [(100, "Привет мир и труд"), (101, "世界和平"), (102, "Привет " * 500), (103, "12"), (105, "мир")]
+    given = [(*x, "s", 1) for x in docs] + [(i, x, None, "s", 1) for i, x in odd]
+    table = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in rows(cp.language(spark, table, SF))} == set(range(40))
+
+
+def test_the_bar_follows_the_learned_scores(spark, steps):
+    learned = steps[0].where(~langid.held_out(steps[0].doc_id))
+    model = langid.learn(learned)
+    found = [langid.label_texts([r["text"]], model)[0][1] for r in rows(learned)]
+    chance = 1 / len(model.langs)
+    assert chance < langid.bar(learned, model) < max(found) and langid.bar(learned, model) <= (min(found) + chance) / 2 + 0.25
+    assert langid.bar(learned.limit(0), model) == chance + 1e-6
+
+
 def test_one_of_each_group_stays(steps):
     before, after = rows(steps[1]), {r["doc_id"] for r in rows(steps[2])}
     sets = {r["doc_id"]: set(sh.shingle_set(r["text"], cp.SHINGLE_WORDS).tolist()) for r in before}
