@@ -35,10 +35,20 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with ``/`` with its ``.`` and ``..`` carried out."""
+    kept = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), lambda done, part: (
+        F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(part == ".", done).otherwise(F.concat(done, F.array(part)))))
+    return F.concat(F.array_join(kept, "/"), F.when(path.rlike(r"/\.\.?\z"), "/").otherwise(""))
+
+
 def url_node(url: Column) -> Column:
-    """The address as a node of the link graph: host lower-cased, fragment left out."""
+    """The address as a node of the link graph: host lower-cased, ``.`` and ``..`` carried out, fragment left out."""
     scheme = ascii_lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*([^#]*)", 1)
+    rest = F.when(url_path(url).rlike(r"/\.\.?(/|\z)"), F.concat(_without_dots(url_path(url)), query)).otherwise(rest)
     return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), url_host(url), rest))
 
 
@@ -47,16 +57,19 @@ def _absolute(base: Column, target: Column) -> Column:
     root = F.concat(scheme, F.lit("://"), url_host(base))
     folder = F.regexp_extract(url_path(base), r"(?s)^(.*/)", 1)
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    return (F.when(F.instr(target, "://") > 0, target)
+    own = F.when(url_path(base) == "", F.lit("/")).otherwise(url_path(base))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
             .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
             .when(target.startswith("/"), F.concat(root, target))
+            .when(target.startswith("?"), F.concat(root, own, target))
+            .when(target.startswith("#"), base)
             .otherwise(F.concat(root, folder, target)))
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """``(u, v)`` node pairs from canonical links and refresh redirects in the html of ``pages``.
 
-    A page without html, without such an element or without ``://`` in its url gives none.
+    Written as ``&amp;``, ``&#38;`` or ``&#x26;``, an ampersand of an address is one. A page without html, without such an element or without ``://`` in its url gives none.
     """
     canonical = F.filter(F.regexp_extract_all("html", F.lit(_LINK), 0),
                          lambda tag: tag.rlike(r"""(?is)\brel\s*=\s*["']?\s*canonical\b"""))
@@ -66,7 +79,8 @@ def link_edges(pages: DataFrame) -> DataFrame:
         F.transform(canonical, lambda tag: F.regexp_extract(tag, _HREF, 1)),
         F.transform(refresh, lambda tag: F.regexp_extract(tag, _REFRESH, 1)))
     found = (pages.select("url", "html").where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
-             .select("url", F.explode(F.filter(targets, lambda t: t != "")).alias("target")))
+             .select("url", F.explode(F.filter(targets, lambda t: t != "")).alias("target"))
+             .withColumn("target", F.regexp_replace("target", r"(?i)&(amp|#0*38|#x0*26);", "&")))
     return found.select(url_node(F.col("url")).alias("u"),
                         url_node(_absolute(F.col("url"), F.col("target"))).alias("v"))
 

@@ -112,3 +112,23 @@ def test_components_equal_union_find(spark):
     found = components.components(spark.createDataFrame(edges, "u long, v long"))
     rows = [(r["node"], r["component"]) for r in found.collect()]
     assert len(rows) == len(set(rows)) and dict(rows) == {x: top(x) for x in list(up)}
+
+
+@pytest.mark.parametrize(("url", "href", "node"), [
+    ("https://a.com/x/p", "https://a.com/p?x=1&amp;y=2", "https://a.com/p?x=1&y=2"), ("https://a.com/x/p", "/q?a&#38;b&#x26;c&#X26;d", "https://a.com/q?a&b&c&d"),
+    ("https://a.com/x/p?z=1", "?page=2", "https://a.com/x/p?page=2"), ("https://A.com", "?page=2", "https://a.com/?page=2"),
+    ("https://a.com/x/p", "?to=https://b.com/", "https://a.com/x/p?to=https://b.com/"), ("https://a.com/x/p?q", "#top", "https://a.com/x/p?q"),
+    ("https://a.com/x/y/p", "./q", "https://a.com/x/y/q"), ("https://a.com/x/y/p", "../q?a=../b", "https://a.com/x/q?a=../b"),
+    ("https://a.com/x/p", "../../../q", "https://a.com/q"), ("https://a.com/x/y/p", "..", "https://a.com/x/"), ("https://a.com/x/p", ".", "https://a.com/x/"),
+    ("https://a.com/x/p", "/a/./b/../c", "https://a.com/a/c"), ("https://a.com/x/p", "q...r/.s", "https://a.com/x/q...r/.s")])
+def test_addresses_are_read_as_browsers_read_them(spark, url, href, node):
+    pages = spark.createDataFrame([(url, f'<link rel="canonical" href="{href}">')], "url string, html string")
+    assert [r["v"] for r in urls.link_edges(pages).collect()] == [node]
+
+
+def test_decisions_reach_pages_behind_such_addresses(spark):
+    pages = spark.createDataFrame([(1, "https://b.org/p?x=1&y=2", ""), (2, "https://bad.com/z", '<link rel=canonical href="https://b.org/p?x=1&amp;y=2">')],
+                                  "page_id long, url string, html string")
+    rules = spark.createDataFrame([("bad.com", "/", "block")], "host string, path string, action string")
+    found = urls.judge_urls(pages, rules, urls.link_edges(pages)).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {1: "block", 2: "block"}
