@@ -247,8 +247,16 @@ def received_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- suppliers: negotiating peers -------------------------------------------------
 
-def supplier_name() -> Column:
-    return X.norm_name(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")))
+def supplier_name(key: Column | None = None) -> Column:
+    """``S`` and the key up to 9,999, then five base-36 digits, so that every name fits the wire:
+    from SA000 on, and after SZZZZ from T0000 on. Keys beyond ZZZZZ raise an error."""
+    key = (F.col("s_suppkey") if key is None else key).cast("bigint")
+    after_s = 10_000 + 26 * 36**3
+    digits = (F.when(key < after_s, key - 10_000 + int("SA000", 36))
+              .when(key < after_s + 7 * 36**4, key - after_s + int("T0000", 36))
+              .otherwise(F.raise_error(F.concat(F.lit("no five-byte name for supplier "), key.cast("string"))).cast("bigint")))
+    return X.norm_name(F.when(key < 10_000, F.concat(F.lit("S"), key.cast("string")))
+                       .otherwise(F.conv(digits.cast("string"), 10, 36)))
 
 
 def supplier_ip() -> Column:
@@ -261,7 +269,7 @@ def handshake_frames(suppliers: DataFrame, kind: str) -> DataFrame:
         message_id=uid(key), message_type=kind, source=supplier_name(), destination="M3",
         priority=L.DEFAULT_PRIORITY, created_at=t0(), capacity=L.HANDSHAKE_BYTES,
         subheader=X.handshake_subheader((F.col("s_suppkey") % 128 + 1) * 512, 7001, supplier_ip()))
-    return suppliers.filter(X.fits_wire(supplier_name())).select(
+    return suppliers.select(
         key.alias("frame_key"), (F.col("s_suppkey") % 64).cast("int").alias("fd"),
         supplier_ip().alias("ipaddress"), frame.alias("jobdata"))
 
@@ -308,11 +316,11 @@ def lane_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(customer % 4 == 0, L.COMPLETE).when(F.col("o_orderstatus") == "O", L.READY)
         .when(F.col("o_orderstatus") == "P", L.HANDSHAKE_READY).otherwise(F.lit(L.DEAD)))
     n_suppliers = table(spark, sf_dir, "supplier").count()
-    lane = F.concat(F.lit("S"), (customer % n_suppliers).cast("string"))
+    lane = supplier_name(customer % n_suppliers)
     return jobs_from(
         table(spark, sf_dir, "orders"), jobid=uid("lane", F.col("o_orderkey")), jstate=state,
         jobdata=F.concat(F.lit("payload "), F.col("o_orderkey").cast("string")).cast("binary"),
-        jtype=F.lit(L.TYPE_CHUNK), jdestination=X.norm_name(lane),
+        jtype=F.lit(L.TYPE_CHUNK), jdestination=lane,
         jpriority=F.substring("o_orderpriority", 1, 1), jcreation_time=F.col("o_orderdate"))
 
 

@@ -155,3 +155,18 @@ def test_a_cluster_must_name_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         session.work_root(Session())
+
+
+def test_every_supplier_has_a_handshake(spark):
+    keys = [0, 9, 9_999, 10_000, 10_001, 100_000, 999_999, 1_223_055, 1_223_056, 12_980_000]
+    suppliers = spark.createDataFrame([(k,) for k in keys], "s_suppkey long")
+    frames = fx.handshake_frames(suppliers, "4").collect()
+    assert len(frames) == len(keys) and {len(r.jobdata) for r in frames} == {147}
+    names = [r[0] for r in suppliers.select(fx.supplier_name()).collect()]
+    assert names[:3] == ["   S0", "   S9", "S9999"] and names[3:5] == ["SA000", "SA001"] and names[7:9] == ["SZZZZ", "T0000"]
+    assert len(set(names)) == len(keys) and all(len(n) == 5 for n in names)
+    assert all(any(n.encode() in bytes(r.jobdata) for r in frames) for n in names)
+    rows = spark.range(9_000, 12_000).withColumnRenamed("id", "s_suppkey")
+    assert rows.select(fx.supplier_name()).distinct().count() == fx.handshake_frames(rows, "5").count() == 3_000
+    with pytest.raises(Exception, match="no five-byte name"):
+        spark.createDataFrame([(99_999_999,)], "s_suppkey long").select(fx.supplier_name()).collect()
