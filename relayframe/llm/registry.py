@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from relayframe.llm import (
-    decontaminate, fingerprints, html, langid, lines, mixing, near, surrogates, token_files, urls, vertical)
+    decontaminate, fingerprints, html, langid, lines, mixing, near, ranked, surrogates, token_files, urls, vertical)
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -16,11 +16,13 @@ QUERIES = {
     "op8_string_tiling": decontaminate.op8_string_tiling,
     "op9_temperature_mix": mixing.op9_temperature_mix,
     "op10_huffman_files": token_files.op10_huffman_files,
+    "op11_stratified_search": ranked.op11_stratified_search,
     "op12_vertical_join": vertical.op12_vertical_join,
 }
 
 SQL: dict[str, str] = {
     "op1_url_filter": urls.SQL_OP1,
     "op5_line_runs": lines.SQL_OP5,
+    "op11_stratified_search": ranked.SQL_OP11,
     "op12_vertical_join": vertical.SQL_OP12,
 }

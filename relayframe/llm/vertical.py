@@ -300,10 +300,10 @@ SQL_OP12 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'),
-    x -> x <> '') AS w FROM documents),
+    lambda x: x <> '') AS w FROM documents),
 grams AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
   FROM words WHERE len(w) > 0),
 sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 common AS (
