@@ -34,7 +34,7 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> tuple
         return "no SQL", len(got)
     relation = con.sql(sql)
     want = rows_of(relation.columns, relation.fetchall())
-    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
     types = {c: kinds.get(t, t) for c, t in result.dtypes}
     wanted = dict(zip(relation.columns, map(str, relation.types), strict=True))
     if types != wanted:
