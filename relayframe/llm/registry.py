@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from relayframe.llm import (
-    decontaminate, fingerprints, html, langid, lines, mixing, near, ranked, surrogates, token_files, urls, vertical)
+    collocations, decontaminate, fingerprints, html, langid, lines, mixing, near, ranked, surrogates, token_files, urls, vertical)
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_huffman_files": token_files.op10_huffman_files,
     "op11_stratified_search": ranked.op11_stratified_search,
     "op12_vertical_join": vertical.op12_vertical_join,
+    "op13_quotient_phrases": collocations.op13_quotient_phrases,
 }
 
 SQL: dict[str, str] = {
@@ -25,4 +26,5 @@ SQL: dict[str, str] = {
     "op5_line_runs": lines.SQL_OP5,
     "op11_stratified_search": ranked.SQL_OP11,
     "op12_vertical_join": vertical.SQL_OP12,
+    "op13_quotient_phrases": collocations.SQL_OP13,
 }
