@@ -26,7 +26,7 @@ from relayframe.session import cut_lineage
 #: A-Z folded, ends of pieces as line feeds, tabs as blanks.
 _FOLD = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Tokens of a block, and of all blocks a task has open; keys of a filter; filters merged at once.
-BLOCK_TOKENS, OPEN_TOKENS, FILTER_KEYS, MERGE_KEYS = 1 << 20, 1 << 22, 1 << 22, 1 << 22
+BLOCK_TOKENS, OPEN_TOKENS, FILTER_KEYS, MERGE_KEYS = 1 << 19, 1 << 21, 1 << 20, 1 << 20
 #: Largest bit table of frequent pairs, as a power of two: 16 MB.
 TABLE_BITS = 27
 _BLOCKS = "block long, lang string, n_words long, tokens binary, words array<string>, counts array<long>"
