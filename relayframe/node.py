@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 
 from .functions import layout as L
+from .operators import counters
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,11 @@ class Node:
 
 @dataclass(frozen=True)
 class NodeState:
-    """The stored tables of a node. ``version`` counts the committed ticks."""
+    """The stored tables of a node. ``version`` counts the committed ticks.
+
+    ``child_counts`` and ``job_counts`` follow from ``jobs``; who changes jobs by known rows gives the
+    counters along, and where they are not given they are counted anew from all jobs.
+    """
 
     node: Node
     jobs: DataFrame
@@ -37,6 +42,24 @@ class NodeState:
     commands: DataFrame
     capacity_events: DataFrame
     version: int = 0
+    child_counts: DataFrame | None = None
+    job_counts: DataFrame | None = None
+
+    def __post_init__(self):
+        if self.child_counts is None:
+            object.__setattr__(self, "child_counts", counters.child_counts(self.jobs))
+        if self.job_counts is None:
+            object.__setattr__(self, "job_counts", counters.job_counts(self.jobs))
 
     def with_tables(self, **tables) -> NodeState:
+        if "jobs" in tables:
+            tables = {"child_counts": None, "job_counts": None, **tables}
         return replace(self, **tables)
+
+    def with_new_jobs(self, rows: DataFrame) -> NodeState:
+        """The state with ``rows`` added to its jobs; no other job is looked at."""
+        children, stats = counters.child_counts(rows), counters.job_counts(rows)
+        return self.with_tables(
+            jobs=self.jobs.unionByName(rows),
+            child_counts=counters.merged(self.child_counts, children),
+            job_counts=counters.merged(self.job_counts, stats))

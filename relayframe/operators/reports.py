@@ -64,10 +64,10 @@ def stranded_forwards(jobs: DataFrame) -> DataFrame:
 
 
 def colliding_names(names: DataFrame, column: str = "system_name") -> DataFrame:
-    """Names that become equal in their five-character form."""
+    """Names that would be equal on the wire. Joins compare whole names, frames hold five characters."""
     full = F.btrim(column)
     return (
-        names.select(X.norm_name(F.col(column)).alias("short_name"), full.alias("_full")).distinct()
+        names.select(X.wire_name(F.col(column)).alias("short_name"), full.alias("_full")).distinct()
         .groupBy("short_name").agg(F.count("*").alias("n_names"))
         .filter(F.col("n_names") > 1)
     )

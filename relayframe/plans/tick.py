@@ -3,7 +3,9 @@
 Statements see the effects of those before them. As most concern disjoint states, the
 job table is split by state once, each part gets its own short plan, and the parts are
 put together again. Only rows in ``MOVABLE`` are read and written; payloads at rest
-(ready, taken, complete, dead, classified data frames) stay where they are.
+(ready, taken, complete, dead, classified data frames) stay where they are. What depends on rows at
+rest, completion of parents and the connections, comes from counters (``operators/counters``) that are
+changed by the rows of the tick, so its cost does not grow with the finished history.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..functions import layout as L
 from ..node import NodeState
-from ..operators import changes, framing, negotiate, queues, transitions
+from ..operators import changes, counters, framing, negotiate, queues, transitions
 from ..operators.framing import JOB_COLUMNS
 from ..session import cut_lineage
 from ..sources import state as store
@@ -78,20 +80,23 @@ def _negotiate(state: NodeState, tick: int) -> tuple[DataFrame, DataFrame, DataF
     return peers, requests, events
 
 
-def _finish_parents(jobs: DataFrame) -> DataFrame:
-    """Waiting parents, moved to C where their children are complete."""
-    done = transitions.finished_chunked_parents(jobs).select(
-        F.col("jparent_jobid").alias("jobid"), F.lit(L.CHUNKED_WAITING).alias("jstate"))
-    single = (
-        jobs.filter(F.col("jstate") == L.COMPLETE).select(F.col("jparent_jobid").alias("jobid"))
-        .distinct().withColumn("jstate", F.lit(L.SINGLE_WAITING))
-    )
-    finished = done.unionByName(single).withColumn("_done", F.lit(True))
-    waiting = jobs.filter(F.col("jstate").isin(*WAITING))
+def _finish_parents(state: NodeState) -> DataFrame:
+    """Waiting parents, moved to C where their children are complete. Reads counters, no children."""
+    finished = counters.finished_parents(state.child_counts).withColumn("_done", F.lit(True))
+    waiting = state.jobs.filter(F.expr(MOVABLE) & F.col("jstate").isin(*WAITING))
     joined = waiting.join(finished, ["jobid", "jstate"], "left")
     return transitions.move(joined, F.col("_done").isNotNull(), L.COMPLETE).select(*JOB_COLUMNS)
 
 
+def _count_changes(state: NodeState, written: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Child counts and job counts after a tick, from the rows it replaced and those it wrote."""
+    replaced = state.jobs.filter(F.expr(MOVABLE))
+    stats = counters.merged(state.job_counts, counters.job_counts(written), counters.job_counts(replaced))
+    children = counters.merged(state.child_counts, counters.child_counts(written), counters.child_counts(replaced))
+    unfinished = written.filter(F.col("jstate").isin(*SENDING, *WAITING) & (F.btrim("jtype") == L.TYPE_SEND))
+    return counters.of_open_parents(children, unfinished), stats
+
+
 def _plan_sends(state: NodeState, peers: DataFrame) -> DataFrame:
     """Send jobs after admission and planning: S, S-1, S-2 or S-3. Narrow rows."""
     sends = state.jobs.filter(
@@ -132,21 +137,25 @@ def run_tick(state: NodeState, as_of: datetime,
     framed = {L.CHUNKED: L.CHUNKED_WAITING, L.SINGLE: L.SINGLE_WAITING}
     waiting = transitions._where_peer_known(planned, peers, framed)
     moved = _union([part.select(*JOB_COLUMNS) for part in
-                    (inbound, _finish_parents(state.jobs), waiting)])
+                    (inbound, _finish_parents(state), waiting)])
 
     job_changes = moved.unionByName(inserted)
     if write_jobs is not None:
         job_changes = write_jobs(job_changes)
     jobs = state.jobs.filter(~movable).unionByName(job_changes)
+    child_counts, job_counts = _count_changes(state, job_changes)
+    # States and destinations are all the connection statements ask of jobs, so counters will do.
+    present = job_counts = cut_lineage(job_counts, "job-counts")
 
-    out_conns = queues.ensure_conns(state.out_conns, jobs, peers, as_of)
+    out_conns = queues.ensure_conns(state.out_conns, present, peers, as_of)
     out_conns = cut_lineage(out_conns)
-    opened = queues.open_commands(state.commands, jobs, peers, out_conns, tick)
+    opened = queues.open_commands(state.commands, present, peers, out_conns, tick)
     commands = state.commands.unionByName(opened)
-    closed = queues.close_commands(commands, jobs, peers, out_conns, tick)
+    closed = queues.close_commands(commands, present, peers, out_conns, tick)
     after = state.with_tables(
         jobs=jobs, peers=peers, out_conns=out_conns, commands=commands.unionByName(closed),
-        capacity_events=state.capacity_events.unionByName(events), version=tick)
+        capacity_events=state.capacity_events.unionByName(events), version=tick,
+        child_counts=child_counts, job_counts=job_counts)
     return TickResult(after, job_changes, inserted, events, opened.unionByName(closed))
 
 
@@ -161,7 +170,7 @@ def commit_tick(state: NodeState, root: str, as_of: datetime, batch: str | None
     spark = state.jobs.sparkSession
     result = run_tick(state, as_of, lambda df: store.write_job_changes(df, root, version))
     tables = {name: getattr(result.state, name)
-              for name in ("peers", "out_conns", "commands", "capacity_events")}
+              for name in ("peers", "out_conns", "commands", "capacity_events", "child_counts", "job_counts")}
     done = store.save_changes(state, root, version, MOVABLE, tables, batch)
     if store.n_job_parts(spark, root, version) > COMPACT_AFTER:
         done = store.save_state(done, root, version + 1, batch)
