@@ -40,6 +40,11 @@ def norm_name(name) -> Column:
     return F.when(F.length(name) > L.NAME_WIDTH, name).otherwise(F.lpad(name, L.NAME_WIDTH, " "))
 
 
+def wire_name(name) -> Column:
+    """The five characters of a name in a frame: padded in front, cut behind."""
+    return F.lpad(F.btrim(as_column(name)), L.NAME_WIDTH, " ")
+
+
 def fits_wire(name) -> Column:
     """Whether a name has room in a frame; a longer one would be cut to another name there."""
     return F.coalesce(F.octet_length(F.btrim(as_column(name))) <= L.NAME_WIDTH, F.lit(False))

@@ -47,8 +47,9 @@ def test_chunk_manifest_and_handshake_layout(spark):
     assert len(got) == 147
 
 
-def test_long_names_are_cut_and_reported(spark):
-    assert one(spark, X.norm_name("abcdefgh")) == "abcde"
+def test_long_names_are_joined_whole_and_their_wire_form_is_reported(spark):
+    assert one(spark, X.norm_name("abcdefgh")) == "abcdefgh"
+    assert one(spark, X.wire_name("abcdefgh")) == "abcde" and one(spark, X.wire_name(" M3 ")) == "   M3"
     assert one(spark, X.norm_name(" M3 ")) == "   M3"
     names = spark.createDataFrame([("server1",), ("server2",), ("M3",)], "system_name string")
     assert [tuple(r) for r in reports.colliding_names(names).collect()] == [("serve", 2)]
