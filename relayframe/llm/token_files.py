@@ -29,8 +29,9 @@ from relayframe.session import work_path
 END_ID = 2
 #: Ids in a block, but for its last document, which is never split.
 BLOCK_IDS = 1 << 17
-#: Distinct pieces that a task remembers with their ids; beyond it the memory starts anew.
-CACHE_PIECES = 1_000_000
+#: Bytes of pieces and ids that a worker remembers, beyond which its memory starts anew, what each piece
+#: takes besides its text and ids, and the longest piece that is remembered.
+CACHE_BYTES, PIECE_BYTES, LONGEST_PIECE = 192 << 20, 180, 200
 #: Pieces given to the tokenizer together, and documents handed on together.
 PIECES_AT_ONCE, ROWS_AT_ONCE = 2000, 200
 #: Longest code in bits, and two more than the ids need where that is longer.
@@ -42,6 +43,10 @@ LIMIT = 18
 #: last one to what follows, so a word right behind a run that does not end in U+0020 stays with it.
 _WORD = re.compile(r"((?: |(?<![\w'])(?<!\s[^\S ]))[A-Za-zÀ-ÖØ-öø-ɏ]+(?![\w']))")
 
+#: Runs of blanks. All but the last of one are a piece by themselves, and the last goes with what follows
+#: if it is U+0020. Four control characters are blanks for Python alone; texts with them are cut by _WORD.
+_RUN, _ODD = re.compile(r"(\s\s+)"), re.compile("[\x1c-\x1f]")
+
 #: The letters by which byte-level vocabularies spell bytes: printable ones by themselves, the rest,
 #: in order, by the code points from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -61,26 +66,59 @@ def tokenizer_json(path: str) -> str:
         return file.read()
 
 
+class _Remembered(dict):
+    """Ids of tokens by the token itself; those behind a blank are kept without it."""
+
+    def __init__(self, encoder: PieceEncoder, before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, token: str) -> bytes:
+        ids = self.encoder.pieces(self.before + token)
+        if len(token) <= LONGEST_PIECE:
+            self.encoder.hold(token, ids)
+            self[token] = ids
+        return ids
+
+
 class PieceEncoder:
-    """Ids of texts; every distinct piece is given to the tokenizer once while it is remembered."""
+    """Ids of texts; every distinct short piece is given to the tokenizer once while it is remembered.
+
+    Between two characters that are no blanks, a single U+0020 starts a piece of the tokenizer's split
+    and a single line feed is one, so such texts are cut by plain splitting; texts that hold an added
+    token, such as one for the end of a text, go to the tokenizer whole.
+    """
 
     def __init__(self, content: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.end = np.array([end_id], "<u4").tobytes()
         parts = json.loads(content)
+        self.added = [token["content"] for token in parts.get("added_tokens") or []]
         pre = parts.get("pre_tokenizer") or {}
         self.by_bytes = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and not pre.get("add_prefix_space") and parts["model"]["type"] == "BPE")
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
-    def _learn(self, words: set[str], others: set[str]) -> None:
-        new, rest = words.difference(self.known), others.difference(self.known)
-        if len(self.known) + len(new) + len(rest) > CACHE_PIECES:
-            self.known, new, rest = {}, words, others
+    def _forget(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.first, self.behind, self.held = _Remembered(self, ""), _Remembered(self, " "), 0
+
+    def hold(self, piece: str, ids: bytes) -> None:
+        """Counts what is remembered and forgets all of it when that is too much."""
+        size = PIECE_BYTES + 4 * len(piece) + len(ids)
+        self.held += size
+        if self.held > CACHE_BYTES:
+            self.known.clear()
+            self.first.clear()
+            self.behind.clear()
+            self.held = size
+
+    def _learn(self, words: set[str], others: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not remembered."""
+        new, rest, found = words.difference(self.known), others.difference(self.known), {}
         if not self.by_bytes:
             new, rest = set(), new | rest
         # A whole word is one piece to the tokenizer too, so its model gets it at once.
@@ -90,21 +128,60 @@ class PieceEncoder:
             else:
                 spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
             ids = [token.id for token in self.model.tokenize(spelled)]
-            self.known[piece] = _packing(len(ids))(*ids)
+            found[piece] = _packing(len(ids))(*ids)
         listed = list(rest)
         for at in range(0, len(listed), PIECES_AT_ONCE):
             some = listed[at : at + PIECES_AT_ONCE]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[piece] = _packing(len(found.ids))(*found.ids)
+            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                found[piece] = _packing(len(got.ids))(*got.ids)
+        return found
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text and the end id, as little-endian unsigned 32-bit integers."""
+    def pieces(self, text: str) -> bytes:
+        """Ids of a text cut at whole words."""
         pieces = _WORD.split(text)
         try:
-            return b"".join(map(self.known.__getitem__, pieces)) + self.end
+            return b"".join(map(self.known.__getitem__, pieces))
         except KeyError:
-            self._learn(set(pieces[1::2]), set(pieces[::2]))  # words stand between what is none
-        return b"".join(map(self.known.__getitem__, pieces)) + self.end
+            found = self._learn(set(pieces[1::2]), set(pieces[::2]))  # words stand between what is none
+        ids = b"".join([found[p] if p in found else self.known[p] for p in pieces])
+        for piece, got in found.items():
+            if len(piece) <= LONGEST_PIECE:
+                self.hold(piece, got)
+                self.known[piece] = got
+        return ids
+
+    def _lines(self, text: str, behind_blank: bool, out: list[bytes]) -> None:
+        """Ids of a text without a run of blanks."""
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                out.append(self.first["\n"])
+            first, *tokens = line.split(" ")
+            out.append((self.behind if behind_blank and not i else self.first)[first])
+            out += map(self.behind.__getitem__, tokens)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end id, as little-endian unsigned 32-bit integers."""
+        if any(token in text for token in self.added):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes() + self.end
+        if not self.by_bytes or _ODD.search(text):
+            return self.pieces(text) + self.end
+        out: list[bytes] = []
+        parts, behind_blank = _RUN.split(text), False
+        for i, part in enumerate(parts):
+            if i % 2 == 0:
+                if part or behind_blank:
+                    self._lines(part, behind_blank, out)
+            elif i == len(parts) - 2 and not parts[-1]:
+                out.append(self.first[part])  # nothing follows the last run
+                break
+            else:
+                out.append(self.first[part[:-1]])
+                behind_blank = part[-1] == " "
+                if not behind_blank:
+                    out.append(self.first[part[-1]])
+        out.append(self.end)
+        return b"".join(out)
 
 
 @cache
@@ -133,7 +210,8 @@ def tokenize(docs: DataFrame, content: str, end_id: int = END_ID) -> DataFrame:
     """``part, seq, doc_id, ids``: every text's ids as little-endian unsigned 32-bit integers.
 
     (part, seq) follows ascending doc_id, null first, rows of one doc_id by text. Null text is
-    empty. Texts are ranged by doc_id, the only time they move.
+    empty. The strings of added tokens give their ids, as the tokenizer does. Texts are ranged by doc_id,
+    the only time they move.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

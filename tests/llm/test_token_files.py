@@ -9,16 +9,14 @@ from relayframe.llm import token_files as tf
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 HARD = ["don't  stop\n\n x 'll he'll I'M  ", "á é中文word 3word word3 _x_ x² ²word ‘quoted’", "  two  spaces \t tab nbsp word",
-        "<|endoftext|> x", "ǅungla ß ŉ word…word naïve ’s 's", "", "\r\n a\r\nb  c", "Ωmega omegaΩ Å å", "x" * 3000, " " * 500,
+        "<|endoftext|> x", "a <|endoftext|>b<|endoftext|>\n\n c", "<|endoftext", " a", "a ", "\na\n", " \n", "a\x1c\x1d b \x1e\x1f c", "ǅungla ß ŉ word…word naïve ’s 's", "", "\r\n a\r\nb  c", "Ωmega omegaΩ Å å", "x" * 3000, " " * 500,
         "a'b 'c d' e'", "ÀÖØöøɏ ɐb"]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize(("n", "limit"), [(0, 5), (1, 5), (2, 1), (3, 2), (8, 3), (9, 4), (300, 9), (5000, 13)])
@@ -55,7 +53,8 @@ def test_codes_are_optimal():
 
 
 def test_pieces_encode_as_whole_texts(tokenizer, monkeypatch):
-    monkeypatch.setattr(tf, "CACHE_PIECES", 20)
+    monkeypatch.setattr(tf, "CACHE_BYTES", 4000)
+    monkeypatch.setattr(tf, "LONGEST_PIECE", 6)
     encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
     for text in HARD * 2:
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
@@ -75,6 +74,15 @@ def test_runs_of_blanks_before_words_encode_as_whole_texts(tokenizer):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text
 
 
+def test_memory_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_BYTES", 100_000)
+    encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
+    for i in range(200):
+        encoder.encode("中文" * 2000 + f"词{i} " + " ".join(f"w{i}x{j}" for j in range(50)))
+        kept = [*encoder.known.items(), *encoder.first.items(), *encoder.behind.items()]
+        assert sum(4 * len(k) + len(v) + tf.PIECE_BYTES for k, v in kept) <= 100_000 and max(len(k) for k, _ in kept) <= tf.LONGEST_PIECE
+
+
 def test_files_round_trip(spark, folder, tokenizer, monkeypatch):
     monkeypatch.setattr(tf, "BLOCK_IDS", 300)
     rows = [(i * 3 - 50, f"{text} {i}") for i, text in enumerate(HARD * 5)] + [(None, "no id"), (4000, None), (4001, ""), (7, "tie"), (7, "a tie")]
