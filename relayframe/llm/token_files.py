@@ -31,7 +31,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 17
 #: Bytes of pieces and ids that a worker remembers, beyond which its memory starts anew, what each piece
 #: takes besides its text and ids, and the longest piece that is remembered.
-CACHE_BYTES, PIECE_BYTES, LONGEST_PIECE = 192 << 20, 180, 200
+CACHE_BYTES, PIECE_BYTES, LONGEST_PIECE = 256 << 20, 180, 200
 #: Pieces given to the tokenizer together, and documents handed on together.
 PIECES_AT_ONCE, ROWS_AT_ONCE = 2000, 200
 #: Longest code in bits, and two more than the ids need where that is longer.
@@ -43,6 +43,9 @@ LIMIT = 18
 #: last one to what follows, so a word right behind a run that does not end in U+0020 stays with it.
 _WORD = re.compile(r"((?: |(?<![\w'])(?<!\s[^\S ]))[A-Za-zÀ-ÖØ-öø-ɏ]+(?![\w']))")
 
+#: A word, and the mark between it and a blank, which is a piece by itself.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
+
 #: Runs of blanks. All but the last of one are a piece by themselves, and the last goes with what follows
 #: if it is U+0020. Four control characters are blanks for Python alone; texts with them are cut by _WORD.
 _RUN, _ODD = re.compile(r"(\s\s+)"), re.compile("[\x1c-\x1f]")
@@ -67,14 +70,18 @@ def tokenizer_json(path: str) -> str:
 
 
 class _Remembered(dict):
-    """Ids of tokens by the token itself; those behind a blank are kept without it."""
+    """Ids of pieces by the piece itself; of those behind a blank, by what follows it."""
 
     def __init__(self, encoder: PieceEncoder, before: str):
         super().__init__()
         self.encoder, self.before = encoder, before
 
     def __missing__(self, token: str) -> bytes:
-        ids = self.encoder.pieces(self.before + token)
+        found = _PLAIN.fullmatch(token) if self.before else None
+        if found and found[2]:
+            # The mark is a piece by itself, and not one to be remembered with every word.
+            return self[found[1]] + self.encoder.first[found[2]]
+        ids = self.encoder.word(self.before + token) if found else self.encoder.pieces(self.before + token)
         if len(token) <= LONGEST_PIECE:
             self.encoder.hold(token, ids)
             self[token] = ids
@@ -100,9 +107,6 @@ class PieceEncoder:
         pre = parts.get("pre_tokenizer") or {}
         self.by_bytes = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and not pre.get("add_prefix_space") and parts["model"]["type"] == "BPE")
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.first, self.behind, self.held = _Remembered(self, ""), _Remembered(self, " "), 0
 
@@ -118,17 +122,10 @@ class PieceEncoder:
 
     def _learn(self, words: set[str], others: set[str]) -> dict[str, bytes]:
         """Ids of pieces that are not remembered."""
-        new, rest, found = words.difference(self.known), others.difference(self.known), {}
+        new, rest = words.difference(self.known), others.difference(self.known)
         if not self.by_bytes:
             new, rest = set(), new | rest
-        # A whole word is one piece to the tokenizer too, so its model gets it at once.
-        for piece in new:
-            if piece.isascii():
-                spelled = _BLANK + piece[1:] if piece[0] == " " else piece
-            else:
-                spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = [token.id for token in self.model.tokenize(spelled)]
-            found[piece] = _packing(len(ids))(*ids)
+        found = {piece: self.word(piece) for piece in new}
         listed = list(rest)
         for at in range(0, len(listed), PIECES_AT_ONCE):
             some = listed[at : at + PIECES_AT_ONCE]
@@ -136,6 +133,15 @@ class PieceEncoder:
                 found[piece] = _packing(len(got.ids))(*got.ids)
         return found
 
+    def word(self, piece: str) -> bytes:
+        """Ids of a whole word, with its blank if it has one: one piece to the tokenizer, so its model gets it."""
+        if piece.isascii():
+            spelled = _BLANK + piece[1:] if piece[0] == " " else piece
+        else:
+            spelled = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = [token.id for token in self.model.tokenize(spelled)]
+        return _packing(len(ids))(*ids)
+
     def pieces(self, text: str) -> bytes:
         """Ids of a text cut at whole words."""
         pieces = _WORD.split(text)
@@ -162,8 +168,7 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         """The ids of a text and the end id, as little-endian unsigned 32-bit integers."""
         if any(token in text for token in self.added):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes() + self.end
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
         if not self.by_bytes or _ODD.search(text):
             return self.pieces(text) + self.end
         out: list[bytes] = []
