@@ -715,8 +715,7 @@ def ingest_stream(spark, sf_dir):
     return jobs_out(spark.read.parquet(f"{path}/jobs"))
 
 
-@query
-def lifecycle_stream(spark, sf_dir):
+def _lifecycle(spark: SparkSession, sf_dir: str, strict: bool) -> DataFrame:
     path = work_path(spark, "lifecycle")
     kind = F.col("event_type")
     state = (
@@ -726,11 +725,21 @@ def lifecycle_stream(spark, sf_dir):
     moves = fx.stream(spark, sf_dir, "events").select(
         fx.uid("job", F.col("user_id")).alias("jobid"), state.alias("jstate"),
         F.col("ts").cast("timestamp").alias("changed_at"), F.col("event_id").alias("change_no"))
-    streams.start(streams.lifecycle_stream(moves), streams.batch_sink(f"{path}/jobs"),
+    streams.start(streams.lifecycle_stream(moves, strict=strict), streams.batch_sink(f"{path}/jobs"),
                   f"{path}/checkpoint", mode="update").awaitTermination()
     return streams.read_latest(spark, f"{path}/jobs", ["jobid"]).drop("changed_at")
 
 
+@query
+def lifecycle_stream(spark, sf_dir):
+    return _lifecycle(spark, sf_dir, False).drop("n_rejected")
+
+
+@query
+def lifecycle_strict_stream(spark, sf_dir):
+    return _lifecycle(spark, sf_dir, True)
+
+
 @query
 def reassembly_stream(spark, sf_dir):
     path = work_path(spark, "reassembly")

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give, also after a restart."""
 
 import random
+import time
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -113,19 +114,50 @@ def test_tick_stream_skips_a_committed_batch(spark, folder):
     assert store.load_state(spark, root).version == 2
 
 
-def test_lifecycle_stream_keeps_the_last_state(spark, folder):
-    schema = "jobid string, jstate string, changed_at timestamp, change_no long"
-    rows = [("a", "S", 0, 1), ("b", "S", 0, 2), ("a", "S-4", 1, 3), ("a", "C", 2, 4),
-            ("b", "S-4", 1, 5), ("a", "S-4W", 1, 6)]
-    for j, s, t, n in rows:
-        spark.createDataFrame([(j, s, S.AT + timedelta(seconds=t), n)], schema).coalesce(1).write.mode(
-            "append").parquet(f"{folder}/in")
-    moves = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
-    streams.start(streams.lifecycle_stream(moves), streams.batch_sink(f"{folder}/out"),
+MOVES = "jobid string, jstate string, changed_at timestamp, change_no long"
+
+
+def add_moves(spark, path, rows):
+    spark.createDataFrame([(j, s, None if t is None else S.AT + timedelta(seconds=t), n) for j, s, t, n in rows],
+                          MOVES).coalesce(1).write.mode("append").parquet(path)
+
+
+def run_lifecycle(spark, folder, **options):
+    moves = spark.readStream.schema(MOVES).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    streams.start(streams.lifecycle_stream(moves, **options), streams.batch_sink(f"{folder}/out"),
                   f"{folder}/cp", mode="update").awaitTermination()
     latest = streams.read_latest(spark, f"{folder}/out", ["jobid"])
-    assert {(r.jobid, r.jstate, r.n_changes) for r in latest.collect()} == {
-        ("a", "C", 4), ("b", "S-4", 2)}
+    return {(r.jobid, r.jstate, r.n_changes, r.n_rejected) for r in latest.collect()}
+
+
+def test_lifecycle_stream_keeps_the_last_state_and_rejects_illegal_moves(spark, folder):
+    add_moves(spark, f"{folder}/in", [
+        ("a", "N-1", 0, 1), ("b", "S", 0, 2), ("a", "N-4", 1, 3), ("a", "C", 2, 4), ("b", "D", 1, 5), ("a", "N-1", 3, 6),
+        ("c", "S-4", None, None), ("c", "S-4W", 9, None), ("c", "S-4", 10, 1), (None, "S", 0, 1), ("d", None, 0, 1),
+        ("e", "S-4W", 5, 2), ("e", "S-4", 5, 1), ("f", "C  ", 1, 1), ("f", "C", 1, 1)])
+    want = {("a", "C", 3, 1), ("b", "S", 1, 1), ("c", "S-4W", 2, 1), ("e", "S-4W", 2, 0), ("f", "C", 2, 0)}
+    assert run_lifecycle(spark, folder) == want
+    # From the checkpoint on: the state of jobs is known, those not named keep theirs.
+    add_moves(spark, f"{folder}/in", [("b", "S-2W", 4, 9), ("a", "D", 9, 9)])
+    want = want - {("a", "C", 3, 1), ("b", "S", 1, 1)} | {("a", "C", 3, 2), ("b", "S-2W", 2, 1)}
+    assert run_lifecycle(spark, folder) == want
+
+
+def test_lifecycle_state_of_finished_jobs_falls_after_its_time(spark, folder):
+    add_moves(spark, f"{folder}/in", [(f"x{i}", "C" if i % 2 else "S-4", 0, 1) for i in range(20)])
+    assert len(run_lifecycle(spark, folder, keep_done="2 seconds")) == 20
+
+    def held():
+        return spark.read.format("statestore").load(f"{folder}/cp").count()
+
+    assert held() == 20
+    time.sleep(3)
+    add_moves(spark, f"{folder}/in", [("x0", "C", 1, 2)])
+    # x0 was not done and goes on; the ten that were are forgotten, so x1 starts anew.
+    assert ("x0", "C", 2, 0) in run_lifecycle(spark, folder, keep_done="2 seconds")
+    assert held() == 10
+    add_moves(spark, f"{folder}/in", [("x1", "S", 1, 2)])
+    assert ("x1", "S", 1, 0) in run_lifecycle(spark, folder, keep_done="2 seconds")
 
 
 def test_delivery_rate_counts_every_window(spark, folder):
