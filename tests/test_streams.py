@@ -4,6 +4,8 @@ import random
 import time
 from datetime import timedelta
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from relayframe.operators import reassembly, transitions
@@ -84,6 +86,13 @@ def test_reassembly_stream_equals_batch_over_a_restart(spark, folder):
     assert parts(spark.read.parquet(f"{folder}/out/messages")) == parts(batch)
 
 
+def test_lost_progress_is_an_error(spark, folder):
+    rows = spark.createDataFrame([("m", 0, None, S.AT)], "message_id string, chunk_index long, chunk_count long, arrived_at timestamp")
+    assert streams._progress(spark, folder, 0, rows, "1 day").count() == 1
+    with pytest.raises(AnalysisException):
+        streams._progress(spark, folder, 1, rows, "1 day")
+
+
 def test_tick_stream_skips_a_committed_batch(spark, folder):
     root, now = f"{folder}/state", lambda: S.AT
     store.save_state(store.seed_node(spark, S.NODE, S.AT), root, 0)
