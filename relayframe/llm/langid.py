@@ -41,17 +41,16 @@ SWITCH = 12.0
 FOREIGN = -40.0
 #: Words in a stretch of the path search, and characters searched together.
 STRETCH, CHARS_AT_ONCE = 64, 1 << 20
-_TOP = 0x32000  # no letters above
+_TOP = 0x110000  # one above the last code point
 
 
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each code point: whether it is a letter, its lower case, its script number."""
-    chars = [chr(i) for i in range(_TOP)]
-    alpha = np.fromiter(map(str.isalpha, chars), bool, _TOP)
+    alpha = np.fromiter(map(str.isalpha, map(chr, range(_TOP))), bool, _TOP)
     lower = np.arange(_TOP, dtype=np.uint32)
     for i in np.flatnonzero(alpha):
-        small = chars[i].lower()
+        small = chr(i).lower()
         if len(small) == 1:
             lower[i] = ord(small)
     names = sorted({name for _, name in SCRIPTS})  # "" is number 0
@@ -78,7 +77,6 @@ def find_words(texts: list[str]) -> Words:
     alpha, lower, scripts = _tables()
     sizes = np.array([len(t) + 1 for t in texts])
     points = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(points < _TOP, points, 0)
     letter = alpha[points]
     edges = np.diff(letter.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0)

@@ -90,3 +90,8 @@ def test_words_keep_their_places():
     for t, a, n in zip(words.text, words.start, words.size, strict=True):
         assert texts[t][a : a + n].isalpha()
     assert sum(words.size) == sum(c.isalpha() for t in texts for c in t)
+
+
+def test_letters_of_all_planes_are_letters():
+    for text in ("\U00032010", "a\U000323af", "\U00020000 x"):
+        assert langid.find_words([text]).size.sum() == sum(map(str.isalpha, text))
