@@ -12,7 +12,7 @@ from relayframe.operators import reassembly, transitions
 from relayframe.sources import files as file_io
 from relayframe.sources import state as store
 from relayframe.sources import wire
-from relayframe.streaming import streams
+from relayframe.streaming import collecting, streams
 from tests import samples as S
 from tests.test_transfer import content, receive, send
 
@@ -86,11 +86,58 @@ def test_reassembly_stream_equals_batch_over_a_restart(spark, folder):
     assert parts(spark.read.parquet(f"{folder}/out/messages")) == parts(batch)
 
 
-def test_lost_progress_is_an_error(spark, folder):
-    rows = spark.createDataFrame([("m", 0, None, S.AT)], "message_id string, chunk_index long, chunk_count long, arrived_at timestamp")
-    assert streams._progress(spark, folder, 0, rows, "1 day").count() == 1
+def test_a_lost_clock_is_an_error(spark, folder):
+    rows = spark.createDataFrame([("m", 0, 1, 0, bytearray(b"x"), None, S.AT)],
+                                 "message_id string, chunk_index long, room long, byte_offset long, payload binary, "
+                                 "chunk_count long, arrived_at timestamp")
     with pytest.raises(AnalysisException):
-        streams._progress(spark, folder, 1, rows, "1 day")
+        collecting.store_batch(folder)(rows, 1)
+    collecting.store_batch(folder)(rows, 0)
+    collecting.store_batch(folder)(rows.withColumn("arrived_at", F.lit(None).cast("timestamp")), 1)
+    clocks = spark.read.parquet(f"{folder}/seen/*").select("batch_no", "clock").collect()
+    assert {tuple(r) for r in clocks} == {(0, S.AT), (1, S.AT)}
+
+
+def test_ranges_are_the_union(spark):
+    rng = random.Random(4)
+    cases = [[(s, s + rng.randint(1, 6)) for s in (rng.randrange(40) for _ in range(rng.randrange(9)))] for _ in range(200)]
+    rows = spark.createDataFrame([([s for s, _ in c], [e for _, e in c]) for c in cases], "s array<long>, e array<long>")
+    starts, ends = collecting.merged_ranges(F.col("s"), F.col("e"))
+    for case, r in zip(cases, rows.select(starts.alias("a"), ends.alias("b")).collect(), strict=True):
+        covered = {i for s, e in case for i in range(s, e)}
+        edges = [i for i in sorted(covered) if i - 1 not in covered], [i + 1 for i in sorted(covered) if i + 1 not in covered]
+        assert (r.a, r.b) == edges
+        assert collecting._union(case) == list(zip(*edges, strict=True))
+
+
+def test_a_finished_message_reads_its_own_buckets_only(spark, folder, monkeypatch):
+    """One message begins, many others pass, then its last chunk comes: only its two batches are read."""
+    _, (_, chunks, manifests) = send(spark, {f"f{i}": content(700, i) for i in range(4)}, 300)
+    slow = manifests[0][114:150]
+    mine = [c for c in chunks if c[122:158] == slow]
+    reads, inner = [], collecting._payloads
+
+    def watched(spark, root, places):
+        reads.append(set(places))
+        return inner(spark, root, places)
+
+    monkeypatch.setattr(collecting, "_payloads", watched)
+    steps = [[manifests[0], *mine[:-1]]]
+    for m in manifests[1:]:
+        steps.append([m, *[c for c in chunks if c[122:158] == m[114:150]]])
+
+    def run():
+        streams.reassembly_stream(frame_stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/cp").awaitTermination()
+
+    for n, frames in enumerate(steps):
+        write_frames(spark, f"{folder}/in", frames, 1, seed=n)
+    run()
+    write_frames(spark, f"{folder}/in", mine[-1:], 1, seed=9)
+    run()
+    others, own = reads
+    assert sorted(number for number, _ in others) == [1, 2, 3]
+    assert sorted(number for number, _ in own) == [0, 4] and len({b for _, b in own}) == 1
+    assert spark.read.parquet(f"{folder}/out/messages").count() == 4
 
 
 def test_tick_stream_skips_a_committed_batch(spark, folder):
