@@ -4,7 +4,8 @@ A source's weight is its share of the tokens raised to an exponent between 0 and
 The exponent is bisected until the weights have a target entropy, or until no source repeats
 more often than a limit. Weights become budgets of tokens, and a budget becomes passes over the
 source in block permutations: documents are dealt to blocks by a keyed hash, and each pass has its
-own order of blocks and of documents in them. The last pass stops where the budget ends.
+own order of blocks and of documents in them. The last pass stops where the budget ends. ``draw`` says how
+often each document is drawn, ``permutation`` where each draw stands.
 """
 
 from __future__ import annotations
@@ -156,6 +157,28 @@ def draw(docs: DataFrame, target: Target, seed: str = "mix") -> DataFrame:
                        (F.col("passes") + last.cast("long")).alias("draws"))
 
 
+def permutation(drawn: DataFrame, seed: str = "mix") -> DataFrame:
+    """Where each draw stands: rows of ``draw``, once for each time the document is drawn.
+
+    Adds ``pass`` (from 0), ``block_place`` (the place of its block among those of the source in this
+    pass, from 1) and ``place`` (its own in the block). Reading a source by the three gives its budget;
+    each pass has an order of its own, by keyed hashes of the pass. A document that is not drawn keeps
+    one row, with nulls. ``seed`` is that of ``draw``, so the last pass ends where the draws end.
+    """
+    turns = F.when(F.col("draws") > 0, F.sequence(F.lit(0).cast("long"), F.col("draws") - 1))
+    rows = drawn.select("*", F.explode_outer(turns).alias("pass"))
+    inside = Window.partitionBy("source", "pass", "block").orderBy(
+        _unit(f"{seed} doc", "pass", "doc_id", "text_hash"), "doc_id", "text_hash")
+    along = Window.partitionBy("source", "pass").orderBy(_unit(f"{seed} pass", "pass", "block"), "block")
+    blocks = (rows.where("pass is not null").groupBy("source", "pass", "block").agg(F.lit(1).alias("one"))
+              .select("source", "pass", "block", F.row_number().over(along).cast("long").alias("block_place")))
+    place = F.when(F.col("pass").isNotNull(), F.row_number().over(inside)).cast("long").alias("place")
+    same = (F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.pass") == F.col("b.pass"))
+            & (F.col("r.block") == F.col("b.block")))
+    placed = rows.select("*", place).alias("r").join(blocks.alias("b"), same, "left")
+    return placed.select("r.*", "block_place")
+
+
 def mixture(docs: DataFrame, target: Target, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, each as often as it is drawn, with their columns as they are."""
     drawn = draw(docs, target, seed).where("draws > 0")
@@ -171,6 +194,7 @@ TARGET = Target(entropy=0.99)
 
 
 def op9_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draws of every document for ``TARGET``."""
-    drawn = draw(read(spark, sf_dir, "documents"), TARGET)
-    return drawn.select("doc_id", "source", "tokens", "weight", "block", "draws")
+    """Draws of every document for ``TARGET``, each with its place in the permutation of its pass."""
+    drawn = cut_lineage(draw(read(spark, sf_dir, "documents"), TARGET), "mix-draws")
+    return permutation(drawn).select(
+        "doc_id", "source", "tokens", "weight", "block", "draws", "pass", "block_place", "place")

@@ -2,6 +2,7 @@ import math
 from collections import defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from relayframe.llm import mixing as mx
@@ -81,6 +82,57 @@ def test_draws_fill_budgets_by_whole_passes_and_one_part(spark, monkeypatch):
     assert entropy(weights) == pytest.approx(0.95 * math.log(3), abs=1e-6)
 
 
+def unit(seed, *values):
+    """Spark's xxhash64 over the values, chained by seed, as a fraction of 1; nulls are passed over."""
+    h = xxhash.xxh64_intdigest(seed.encode(), 42)
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), h)
+    return (h >> 11) / float(1 << 53)
+
+
+def test_permutation_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(mx, "BLOCK_DOCS", 8)
+    docs = corpus(spark, {"a": 300, "b": 40, "c": 5, None: 9}).unionByName(spark.createDataFrame(
+        [(None, "x y z", "b", "t", "b"), (7000, "", "c", "t", "b"), (1, "w w", "b", "t", "b"), (1, "w w", "b", "t", "b"),
+         (1, "w", "b", "t", "b")], SCHEMA))
+    drawn = mx.draw(docs, mx.Target(entropy=0.97))
+    rows = [r.asDict() for r in drawn.collect()]
+    got = [r.asDict() for r in mx.permutation(drawn).collect()]
+    total = sum(r["tokens"] for r in rows)
+    want, lost = set(), set()
+    for source in {r["source"] for r in rows}:
+        held = [r for r in rows if r["source"] == source]
+        size, budget = sum(r["tokens"] for r in held), math.floor(total * held[0]["weight"] + 0.5)
+        by = defaultdict(list)
+        for r in held:
+            by[r["block"]].append(r)
+        number, spent = 0, 0
+        seen = set()
+        while spent < budget:
+            left = budget - spent if budget - spent < size else size
+            before = 0
+            for at, block in enumerate(sorted(by, key=lambda b: (unit("mix pass", number, b), b)), 1):
+                turn = sorted(by[block], key=lambda r: unit("mix doc", number, r["doc_id"], r["text_hash"]))
+                for place, r in enumerate(turn, 1):
+                    if left == size or before < left:
+                        want.add((r["doc_id"], source, r["text_hash"], number, at, place))
+                        seen.add((r["doc_id"], r["text_hash"]))
+                    before += r["tokens"]
+            number, spent = number + 1, spent + left
+        lost |= {(r["doc_id"], source, r["text_hash"], None, None, None) for r in held
+                 if (r["doc_id"], r["text_hash"]) not in seen}
+    found = [tuple(r[c] for c in ("doc_id", "source", "text_hash", "pass", "block_place", "place")) for r in got]
+    assert len(found) == len(set(found)) and set(found) == want | lost
+    orders = defaultdict(list)
+    for r in sorted((r for r in got if r["source"] == "c" and r["pass"] is not None),
+                    key=lambda r: (r["pass"], r["block_place"], r["place"])):
+        orders[r["pass"]].append(r["doc_id"])
+    full = [tuple(o) for p, o in orders.items() if len(o) == 6]
+    assert len(full) > 3 and len(set(full)) > 1
+    assert mx.permutation(mx.draw(docs.limit(0), mx.Target(entropy=0.5))).count() == 0
+
+
 def test_another_seed_draws_others_and_the_same_the_same(spark):
     docs = corpus(spark, {"a": 200, "b": 5})
     target = mx.Target(entropy=0.9)
