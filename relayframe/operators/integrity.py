@@ -76,23 +76,31 @@ def _row(counted: DataFrame, table: str, rule: str) -> DataFrame:
 
 
 def job_descendants(jobs: DataFrame, ancestors: DataFrame) -> DataFrame:
-    """Everything below the given jobids: what deleting them would delete too.
+    """Everything below the given jobids, ``ancestor, jobid, depth``: what deleting them would delete too.
 
-    One join per level over narrow edges that are written once; the root's edge to itself is left
-    out. Levels are written too, so the plan does not grow, and the loop ends at the first empty
-    level, however deep. A job has one parent, so a path can only come back to where it began: an
-    ancestor in a cycle is not listed below itself, and its cycle ends there.
+    Paths are doubled: a round knows the job 2^k steps above each job, finds what lies 2^k to 2^(k+1) - 1
+    steps below the ancestors from what lies less deep, and joins the steps with themselves. So rounds grow
+    as the logarithm of the depth. Steps and findings are narrow and written, so the plan does not grow.
+    The root's edge to itself is left out. A job has one parent, so a path can only come back to
+    where it began: an ancestor in a cycle is not listed below itself, and others once, at the least depth.
     """
-    edges = cut_lineage(jobs.filter(F.col("jobid") != F.col("jparent_jobid")).select(
-        F.col("jparent_jobid").alias("above"), "jobid"), "edges")
-    level = ancestors.select(F.col("jobid").alias("ancestor"), F.col("jobid").alias("above"))
-    found = None
-    for depth in count(1):
-        below = join_lookup(edges, level, ["above"], spread_by=F.col("jobid")).filter(
-            F.col("jobid") != F.col("ancestor")).select("ancestor", "jobid", F.lit(depth).alias("depth"))
-        below = cut_lineage(below)
+    steps = cut_lineage(jobs.filter(F.col("jobid") != F.col("jparent_jobid")).select(
+        F.col("jparent_jobid").alias("above"), "jobid").distinct(), "steps")
+    found = ancestors.select(F.col("jobid").alias("ancestor"), "jobid", F.lit(0).alias("depth")).dropna().distinct()
+    for k in count():
+        known = found.select("ancestor", F.col("jobid").alias("above"), "depth")
+        below = join_lookup(steps, known, ["above"], spread_by=F.col("jobid")).filter(
+            F.col("jobid") != F.col("ancestor")).select("ancestor", "jobid", (F.col("depth") + (1 << k)).alias("depth"))
+        below = below.groupBy("ancestor", "jobid").agg(F.min("depth").alias("depth"))
+        if k:
+            below = below.join(found.select("ancestor", "jobid"), ["ancestor", "jobid"], "left_anti")
+        below = cut_lineage(below, "below")
         if below.isEmpty():
             break
-        found = below if found is None else found.unionByName(below)
-        level = below.select("ancestor", F.col("jobid").alias("above"))
-    return below if found is None else found
+        found = found.unionByName(below)
+        higher = steps.select(F.col("jobid").alias("above"), F.col("above").alias("_higher"))
+        steps = cut_lineage(join_lookup(steps, higher, ["above"], spread_by=F.col("jobid")).select(
+            F.col("_higher").alias("above"), "jobid"), "steps")
+        if steps.isEmpty():
+            break
+    return found.filter(F.col("depth") > 0)

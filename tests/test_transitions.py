@@ -204,3 +204,25 @@ def test_a_cycle_ends_where_it_began(spark):
                           {"jobid": "c", "jparent_jobid": "b"}])
     below = integrity.job_descendants(jobs, jobs.filter("jobid = 'a'"))
     assert {(r.jobid, r.depth) for r in below.collect()} == {("b", 1), ("c", 2)}
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    written, inner = [], integrity.cut_lineage
+    monkeypatch.setattr(integrity, "cut_lineage", lambda df, name="step": written.append(name) or inner(df, name))
+    n = 1000
+    jobs = spark.range(n).selectExpr("cast(id as string) jobid", "cast(greatest(id - 1, 0) as string) jparent_jobid")
+    side = spark.createDataFrame([("x", "990"), ("y", "x"), ("z", "gone")], "jobid string, jparent_jobid string")
+    above = spark.createDataFrame([("0",), ("990",), ("nobody",), (None,)], "jobid string")
+    below = {(r.ancestor, r.jobid): r.depth for r in integrity.job_descendants(jobs.unionByName(side), above).collect()}
+    want = {("0", str(i)): i for i in range(1, n)} | {("990", str(i)): i - 990 for i in range(991, n)}
+    want |= {("0", "x"): 991, ("0", "y"): 992, ("990", "x"): 1, ("990", "y"): 2}
+    assert below == want
+    assert written.count("below") <= 11
+    assert integrity.job_descendants(jobs.limit(0), above).count() == 0
+
+
+def test_a_cycle_longer_than_a_round_lists_each_job_once(spark):
+    ring = spark.range(7).selectExpr("cast(id as string) jobid", "cast((id + 6) % 7 as string) jparent_jobid")
+    below = integrity.job_descendants(ring, ring.filter("jobid in ('0', '3')"))
+    got = sorted((r.ancestor, r.jobid, r.depth) for r in below.collect())
+    assert got == sorted((a, str((int(a) + d) % 7), d) for a in "03" for d in range(1, 7))
