@@ -759,3 +759,12 @@ def delivery_rate(spark, sf_dir):
                   f"{path}/checkpoint", mode="update").awaitTermination()
     latest = streams.read_latest(spark, f"{path}/rate", ["window_start", "outcome"])
     return latest.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
+@query
+def delivery_rate_closed(spark, sf_dir):
+    path = work_path(spark, "closed-rate")
+    acks = fx.acks(fx.stream(spark, sf_dir, "events"), F.lit(""))
+    streams.delivery_rate_stream(acks, path, f"{path}/checkpoint").awaitTermination()
+    rate = spark.read.parquet(f"{path}/rate").select("window_start", "outcome", "n_acks")
+    return rate.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))

@@ -65,6 +65,20 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 # --- storing ----------------------------------------------------------------------
 
+def clock_before(spark: SparkSession, root: str, batch_id: int) -> datetime | None:
+    """The clock of the batch before. Only the first has none; one that cannot be read must not turn time back."""
+    return spark.read.parquet(f"{root}/clock/v{batch_id - 1}").first()["clock"] if batch_id else None
+
+
+def advance_clock(newest: DataFrame, root: str, batch_id: int) -> datetime:
+    """Writes and returns the clock of a batch, the newest time so far. ``newest``: one row of ``clock``, of this batch."""
+    spark, before = newest.sparkSession, clock_before(newest.sparkSession, root, batch_id)
+    latest = F.greatest(F.lit(before).cast("timestamp"), F.col("clock"))
+    path = f"{root}/clock/v{batch_id}"
+    newest.select(F.coalesce(latest, F.timestamp_seconds(F.lit(0))).alias("clock")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).first()["clock"]
+
+
 def store_batch(root: str) -> Callable[[DataFrame, int], None]:
     """Writes the payloads of a micro-batch, its clock, and which indexes it brought.
 
@@ -79,13 +93,7 @@ def store_batch(root: str) -> Callable[[DataFrame, int], None]:
         path = f"{root}/chunks/batch_no={batch_id}"
         batch.withColumn("bucket", bucket).write.partitionBy("bucket").mode("overwrite").parquet(path)
         new = spark.read.schema(f"{PAYLOADS}, chunk_count bigint, arrived_at timestamp").parquet(path)
-        newest = F.coalesce(F.max("arrived_at"), F.timestamp_seconds(F.lit(0))).alias("clock")
-        clock = new.agg(newest)
-        if batch_id > 0:
-            # Only the first batch has none before it; a clock that cannot be read must not turn time back.
-            clock = clock.unionByName(spark.read.parquet(f"{root}/clock/v{batch_id - 1}").select("clock"))
-        clock.agg(F.max("clock").alias("clock")).write.mode("overwrite").parquet(f"{root}/clock/v{batch_id}")
-        now = spark.read.parquet(f"{root}/clock/v{batch_id}").first()["clock"]
+        now = advance_clock(new.agg(F.max("arrived_at").alias("clock")), root, batch_id)
         _seen(new, batch_id, now).write.mode("overwrite").parquet(f"{root}/seen/v{batch_id}")
 
     return write

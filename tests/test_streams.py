@@ -228,6 +228,36 @@ def test_delivery_rate_counts_every_window(spark, folder):
             latest.groupBy("outcome").agg(F.sum("n_acks")).collect()} == {"C": 8, "D": 4}
 
 
+def test_closed_windows_and_late_rows_add_up_to_all(spark, folder):
+    schema = "ack_time timestamp, status int, extra string"
+    rng, sent = random.Random(2), []
+
+    def add(minutes):
+        rows = [(None if m is None else S.AT + timedelta(minutes=m), rng.randint(0, 1), "e") for m in minutes]
+        sent.extend(rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def run():
+        acks = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        streams.delivery_rate_stream(acks, f"{folder}/out", f"{folder}/cp").awaitTermination()
+        closed = spark.read.parquet(f"{folder}/out/rate").collect()
+        late = spark.read.parquet(f"{folder}/out/late").collect()
+        keys = [(r.window_start, r.outcome) for r in closed]
+        assert len(keys) == len(set(keys))  # each window is given once
+        return sum(r.n_acks for r in closed), len(late)
+
+    add([rng.randrange(300) for _ in range(50)])
+    add([rng.randrange(600) for _ in range(50)] + [None, 600])
+    run()
+    add([0, 5, 590])  # from the checkpoint on, two are late
+    add([10_000])
+    closed, late = run()
+    newest = max(r[0] for r in sent[:50])
+    ends = [r[0].replace(minute=0, second=0, microsecond=0) + timedelta(hours=1) for r in sent[50:100]]
+    assert late == 1 + 2 + sum(e <= newest - timedelta(hours=1) for e in ends)
+    assert closed + late == len(sent) - 1  # the window of the last one is open
+
+
 def test_files_in_and_out(spark, folder, tmp_path):
     contents = {"a.bin": bytes(range(256)), "b.txt": "grüße".encode(), "c.txt": b"x"}
     for name, data in contents.items():
