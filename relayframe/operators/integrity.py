@@ -81,21 +81,25 @@ def job_descendants(jobs: DataFrame, ancestors: DataFrame) -> DataFrame:
     Paths are doubled: a round knows the job 2^k steps above each job, finds what lies 2^k to 2^(k+1) - 1
     steps below the ancestors from what lies less deep, and joins the steps with themselves. So rounds grow
     as the logarithm of the depth. Steps and findings are narrow and written, so the plan does not grow.
-    The root's edge to itself is left out. A job has one parent, so a path can only come back to
-    where it began: an ancestor in a cycle is not listed below itself, and others once, at the least depth.
+    The root's edge to itself is left out. Jobids are unique, so a job has one parent and a path can only come
+    back to where it began: an ancestor in a cycle is not listed below itself, and others once, at the least depth.
     """
     steps = cut_lineage(jobs.filter(F.col("jobid") != F.col("jparent_jobid")).select(
-        F.col("jparent_jobid").alias("above"), "jobid").distinct(), "steps")
+        F.col("jparent_jobid").alias("above"), "jobid"), "steps")
     found = ancestors.select(F.col("jobid").alias("ancestor"), "jobid", F.lit(0).alias("depth")).dropna().distinct()
+    back, cyclic = F.col("jobid") == F.col("ancestor"), False
     for k in count():
         known = found.select("ancestor", F.col("jobid").alias("above"), "depth")
-        below = join_lookup(steps, known, ["above"], spread_by=F.col("jobid")).filter(
-            F.col("jobid") != F.col("ancestor")).select("ancestor", "jobid", (F.col("depth") + (1 << k)).alias("depth"))
-        below = below.groupBy("ancestor", "jobid").agg(F.min("depth").alias("depth"))
-        if k:
-            below = below.join(found.select("ancestor", "jobid"), ["ancestor", "jobid"], "left_anti")
-        below = cut_lineage(below, "below")
-        if below.isEmpty():
+        below = cut_lineage(join_lookup(steps, known, ["above"], spread_by=F.col("jobid")).select(
+            "ancestor", "jobid", (F.col("depth") + (1 << k)).alias("depth")), "below")
+        n_rows, n_back = below.agg(F.count(F.lit(1)), F.count_if(back)).first()
+        # Nothing is met twice before an ancestor is met below itself.
+        cyclic = cyclic or n_back > 0
+        if cyclic:
+            below = below.filter(~back).groupBy("ancestor", "jobid").agg(F.min("depth").alias("depth"))
+            below = cut_lineage(below.join(found.select("ancestor", "jobid"), ["ancestor", "jobid"], "left_anti"), "new")
+            n_rows = below.count()
+        if not n_rows:
             break
         found = found.unionByName(below)
         higher = steps.select(F.col("jobid").alias("above"), F.col("above").alias("_higher"))
