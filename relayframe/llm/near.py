@@ -107,8 +107,8 @@ def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     Two documents are linked if the Jaccard similarity of their sets of ``size``-word shingles is
     ``percent`` hundredths or more. ``component_id`` is the smallest doc_id of the component, and
     ``kept`` is true where it is the row's own. Texts without a word, and null, have no set and
-    are alone. Repeated rows are one class. Rows without a doc_id take part; a component without
-    any doc_id has a null ``component_id``, and its rows are kept.
+    are alone. Repeated rows are one class. A row without a doc_id joins those with an equal set only,
+    near ones are not looked for; without any doc_id ``component_id`` is null, and the rows are kept.
     """
     bands = sh.bands_needed(percent / 100, ROWS)
     words = max(COORDINATES, bands * ROWS) // 32
