@@ -121,6 +121,26 @@ def export_files(spark, sf_dir):
         md5_of("content", "content_md5"))
 
 
+@query
+def received_files(spark, sf_dir):
+    """Messages in several parts, as files that can be sent on."""
+    parts = reassembly.reassemble(fx.received_chunks(spark, sf_dir), part_bytes=4096)
+    stored, _ = file_io.received_files(parts, fx.t0())
+    return stored.select("file_id", "file_name", "n_bytes", md5_of("content", "content_md5"))
+
+
+@query
+def write_files(spark, sf_dir):
+    """Messages written as files, and those files imported again."""
+    path = work_path(spark, "messages")
+    parts = reassembly.reassemble(fx.received_chunks(spark, sf_dir), part_bytes=4096)
+    written = file_io.write_files(parts, path)
+    found = file_io.import_files(spark, f"{path}/*", fx.t0())
+    name = F.url_decode(F.regexp_extract("file_name", "/m-([^/]+)\\z", 1))
+    return found.select(name.alias("message_id"), big("n_bytes"), md5_of("content", "content_md5")).join(
+        written.select("message_id", F.col("n_bytes").alias("n_written")), "message_id")
+
+
 @query
 def load_save_state(spark, sf_dir):
     path = work_path(spark, "state")

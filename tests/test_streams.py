@@ -273,6 +273,57 @@ def test_files_in_and_out(spark, folder, tmp_path):
     assert {r.file_id for r in again.collect()} == {r.file_id for r in batch.collect()}
 
 
+def test_messages_become_files_and_come_back(spark, folder, tmp_path):
+    """Send, receive, export, import and store: equal bytes, also when a message lies in many parts."""
+    sent = {f"f{i}": content(n, i) for i, n in enumerate([130, 500, 3000, 9000])}
+    _, (_, chunks, manifests) = send(spark, sent, 300)
+    parts = reassembly.reassemble(receive(spark, chunks + manifests + chunks[:5]), 512)
+    want = {f"{n:>36}".replace(" ", "0"): d for n, d in sent.items()}
+
+    written = file_io.write_files(parts, f"{tmp_path}/out")
+    got = {r.message_id: (r.file_path, r.n_bytes) for r in written.collect()}
+    assert {m: open(p, "rb").read() for m, (p, _) in got.items()} == want
+    assert all(n == len(want[m]) for m, (_, n) in got.items())
+    back = file_io.import_files(spark, f"{tmp_path}/out/*", S.AT)
+    assert {bytes(r.content) for r in back.collect()} == set(want.values())
+    with pytest.raises(FileExistsError):
+        file_io.write_files(parts, f"{tmp_path}/out")
+
+    stored, rejected = file_io.received_files(parts, S.AT, max_bytes=5000)
+    assert {r.file_name: (bytes(r.content), r.n_bytes) for r in stored.collect()} == {
+        f"received/{m}": (d, len(d)) for m, d in want.items() if len(d) <= 5000}
+    assert [r.total_bytes for r in rejected.collect()] == [9000]
+    known = stored.filter(F.col("n_bytes") == 500)
+    again, _ = file_io.received_files(parts, S.AT, existing=known)
+    assert sorted(r.n_bytes for r in again.collect()) == [130, 3000, 9000]
+    requests = spark.createDataFrame([(str(i), f"received/{m}", "M2") for i, m in enumerate(want)],
+                                     "request_id string, file_name string, destination string")
+    jobs, refused = wire.create_send_jobs(requests, stored, S.NODE, S.AT)
+    assert jobs.count() == 3 and refused.count() == 1
+
+
+PARTS = "message_id string, part_no long, n_parts long, byte_offset long, total_bytes long, content binary"
+
+
+def test_a_failed_export_leaves_nothing_and_names_stay_inside(spark, tmp_path):
+    rows = [("../../x", 0, 2, 0, 6, b"abc"), ("../../x", 1, 2, 3, 6, b"def"), (".", 0, 1, 0, 0, b""),
+            (None, 0, 1, 0, 2, b"no"), ("a/b", 0, 1, 0, 1, b"1"), ("A/B", 0, 1, 0, 1, b"2")]
+    parts = spark.createDataFrame([(*r[:5], bytearray(r[5])) for r in rows], PARTS)
+    with pytest.raises(ValueError, match="not whole"):
+        file_io.write_files(parts.filter("part_no = 0"), f"{tmp_path}/out")
+    torn = parts.withColumn("content", F.when(F.col("message_id") == "a/b", F.raise_error(F.lit("lost")).cast("binary"))
+                            .otherwise(F.col("content")))
+    with pytest.raises(Exception, match="lost"):
+        file_io.write_files(torn, f"{tmp_path}/out")
+    assert list(tmp_path.iterdir()) == []
+    written = file_io.write_files(parts.unionByName(parts).repartition(3), f"{tmp_path}/out")
+    found = {r.message_id: open(r.file_path, "rb").read() for r in written.collect()}
+    assert found == {"../../x": b"abcdef", ".": b"", None: b"no", "a/b": b"1", "A/B": b"2"}
+    assert all(str(tmp_path) in r.file_path for r in written.collect()) and len(list(tmp_path.iterdir())) == 1
+    file_io.write_files(parts.limit(0), f"{tmp_path}/none")
+    assert list((tmp_path / "none").iterdir()) == []
+
+
 def test_fixed_size_frames_are_read_in_splits(spark, tmp_path):
     frames = [bytes([i]) * 147 for i in range(10)]
     (tmp_path / "wire").write_bytes(b"".join(frames))
