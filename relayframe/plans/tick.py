@@ -159,18 +159,33 @@ def run_tick(state: NodeState, as_of: datetime,
     return TickResult(after, job_changes, inserted, events, opened.unionByName(closed))
 
 
+def write_set(state: NodeState, result: TickResult) -> DataFrame:
+    """What the tick after ``state`` wrote, for ``changes.notifications``: jobs, commands, capacity events."""
+    version = result.state.version
+    moved = changes.job_writes(state.jobs.filter(F.expr(MOVABLE)), result.job_changes)
+    commands = changes.write_set(result.new_commands, changes.INSERT)
+    events = changes.write_set(result.new_events, changes.INSERT)
+    return _union([
+        changes.write_rows(version, "jobs", moved, "jobid", "jstate"),
+        changes.write_rows(version, "commands", commands, "scommid", "mtype"),
+        changes.write_rows(version, "capacity_events", events, "rcomid"),
+    ])
+
+
 def commit_tick(state: NodeState, root: str, as_of: datetime, batch: str | None = None
                 ) -> NodeState:
     """Runs a tick on a stored state and commits the next version.
 
     The jobs that moved or are new are written once, to the directory of the new version.
-    ``batch`` names the micro-batch taken in, if any.
+    ``batch`` names the micro-batch taken in, if any. The commit names the version's write set too,
+    which ``streams.change_feed`` follows.
     """
     version = state.version + 1
     spark = state.jobs.sparkSession
     result = run_tick(state, as_of, lambda df: store.write_job_changes(df, root, version))
     tables = {name: getattr(result.state, name)
               for name in ("peers", "out_conns", "commands", "capacity_events", "child_counts", "job_counts")}
+    tables["writes"] = write_set(state, result)
     done = store.save_changes(state, root, version, MOVABLE, tables, batch)
     if store.n_job_parts(spark, root, version) > COMPACT_AFTER:
         done = store.save_state(done, root, version + 1, batch)

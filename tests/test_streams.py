@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from relayframe.operators import reassembly, transitions
+from relayframe.operators import changes, reassembly, transitions
 from relayframe.sources import files as file_io
 from relayframe.sources import state as store
 from relayframe.sources import wire
@@ -170,6 +170,81 @@ def test_tick_stream_skips_a_committed_batch(spark, folder):
     assert store.load_state(spark, root).version == 2
 
 
+def handshakes(n):
+    return [S.frame(f"{i:036d}", "4", f"P{i}", "M3", 5, 147,
+                    f"{512 * (i + 1):>11}       7001{1000 + i:>11}".encode()) for i in range(n)]
+
+
+def test_change_feed_hears_every_tick_once_over_a_restart(spark, folder):
+    root = f"{folder}/state"
+    store.save_state(store.seed_node(spark, S.NODE, S.AT), root, 0)
+    heard = []
+    for step in range(2):
+        # The same peer with the same capacity again: an event although nothing changes.
+        write_frames(spark, f"{folder}/in", handshakes(2), 1, seed=step)
+        streams.tick_stream(frame_stream(spark, f"{folder}/in"), root, f"{folder}/cp", lambda: S.AT,
+                            every=None).awaitTermination()
+        streams.change_feed(spark, root, streams.batch_sink(f"{folder}/feed"), f"{folder}/feed-cp").awaitTermination()
+        heard.append(spark.read.parquet(f"{folder}/feed").count())
+    feed = spark.read.parquet(f"{folder}/feed")
+    rows = sorted((r.version, r.channel, r.op) for r in feed.collect())
+    assert [r for r in rows if r[1] == "receiver"] == [(v, "receiver", "insert") for v in (1, 1, 2, 2)]
+    assert [r for r in rows if r[1] == "handshake"] == [(v, "handshake", "insert") for v in (1, 1, 2, 2)]
+    assert feed.select("channel", "key").distinct().count() == len(rows) and heard[0] < heard[1] == len(rows)
+    done = store.load_state(spark, root)
+    ids = {r.jobid for r in done.jobs.filter("jstate = 'S-5'").collect()}
+    assert {r.key for r in feed.filter("channel = 'handshake'").collect()} == ids
+    # Rows that versions keep of jobs: all that arrived moved, all replies are new.
+    writes = spark.read.parquet(f"{root}/writes/v*").filter("table_name = 'jobs'")
+    assert {(r.op, r.state): r["count"] for r in writes.groupBy("op", "state").count().collect()} == {
+        ("insert", "S-5"): 4, ("update", "C"): 4}
+    streams.change_feed(spark, root, streams.batch_sink(f"{folder}/feed"), f"{folder}/feed-cp").awaitTermination()
+    assert spark.read.parquet(f"{folder}/feed").count() == len(rows)
+
+
+def test_job_writes_know_inserts_updates_and_rows_left_alone(spark):
+    before = spark.createDataFrame([("a", "N-1"), ("b", "S-2W")], "jobid string, jstate string")
+    after = spark.createDataFrame([("a", "N-4"), ("b", "S-2W"), ("c", "S-4")], "jobid string, jstate string")
+    assert {tuple(r) for r in changes.job_writes(before, after).collect()} == {
+        ("a", "N-4", "update"), ("c", "S-4", "insert")}
+
+
+def test_ticks_go_on_without_frames_and_after_a_failure(spark, folder, monkeypatch):
+    """A send job is planned although no frame arrives; the first tick fails, runs again and commits once."""
+    state = store.seed_node(spark, S.NODE, S.AT).with_tables(
+        files=S.files(spark, {"a": content(500)}), peers=S.peers(spark, [("M2", 1, 7001, 300)]))
+    job = S.jobs(spark, [{"jobid": "j", "jobdata": b"a", "jstate": "S"}])
+    root = f"{folder}/state"
+    store.save_state(state.with_new_jobs(job), root, 0)
+    spark.createDataFrame([], FRAMES).write.parquet(f"{folder}/in")
+    calls, waits, commit = [], [], streams.commit_tick
+
+    def failing(state, root, now, name):
+        calls.append(name)
+        if len(calls) == 1:
+            raise RuntimeError("injected")
+        return commit(state, root, now, name)
+
+    monkeypatch.setattr(streams, "commit_tick", failing)
+
+    def begin():
+        query = streams.tick_stream(frame_stream(spark, f"{folder}/in"), root, f"{folder}/cp", lambda: S.AT,
+                                    every="200 milliseconds")
+        if calls:
+            deadline = time.time() + 120
+            while store.load_state(spark, root).version < 1 and time.time() < deadline:
+                time.sleep(0.2)
+            query.stop()
+        return query
+
+    assert streams.supervise(begin, pause=waits.append) == 1 and waits == [streams.RETRY_SECONDS]
+    done = store.load_state(spark, root)
+    assert calls[0] == calls[1] and len(set(calls)) == len(calls) - 1 and done.version >= 1
+    assert S.states(done.jobs)["j"] == "S-2W"
+    chunks = done.jobs.filter("jstate = 'S-4'")
+    assert chunks.count() == 4 + 1 and chunks.select("jobid").distinct().count() == 5
+
+
 MOVES = "jobid string, jstate string, changed_at timestamp, change_no long"
 
 
