@@ -30,7 +30,7 @@ from ..sources import fixtures as fx
 from ..sources import state as store
 from ..sources import wire
 from ..streaming import streams
-from .tick import run_tick
+from .tick import commit_tick, run_tick
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -726,6 +726,17 @@ def tick_stream(spark, sf_dir):
     return jobs_out(store.load_state(spark, root).jobs)
 
 
+@query
+def change_feed(spark, sf_dir):
+    """What a tick's commit tells the three channels; numbered rows are counted, their numbers are the tick's own."""
+    path = work_path(spark, "feed")
+    root = fx.new_state_path(spark, sf_dir, "feed-state", with_messages=True)
+    commit_tick(store.load_state(spark, root), root, fx.T0)
+    streams.change_feed(spark, root, streams.batch_sink(f"{path}/feed"), f"{path}/checkpoint").awaitTermination()
+    key = F.when(F.col("key").rlike("^[0-9]+$"), "serial").otherwise(F.col("key")).alias("key")
+    return spark.read.parquet(f"{path}/feed").groupBy("version", "channel", "op", key).agg(F.count("*").alias("n_rows"))
+
+
 @query
 def ingest_stream(spark, sf_dir):
     path = work_path(spark, "ingest")
