@@ -3,7 +3,8 @@
 A document and a test item share seeds: windows of ``MIN_WORDS`` words with one Karp-Rabin hash.
 Neighbouring seeds on one diagonal are a match. The longest match is marked, what it covers is
 taken from the others, and so on until no match of ``MIN_WORDS`` unmarked words is left. The share
-of the item's words under marks is its coverage, whatever order the document has them in.
+of the item's words under marks is its coverage, whatever order the document has them in. An item of
+fewer than ``MIN_WORDS`` words has no seed; it is looked for as a whole, by one hash of all its words.
 """
 
 from __future__ import annotations
@@ -54,6 +55,12 @@ class Items:
     def __init__(self, rows: list[tuple]):
         codes = [(item, word_codes(words_of(text or ""))) for item, text in rows]
         self.items = [(item, x) for item, x in codes if len(x) >= MIN_WORDS]
+        self.short: dict[int, tuple[np.ndarray, list[int]]] = {}
+        for size in range(1, MIN_WORDS):
+            own = sorted((int(rolling_hashes(x, size)[0]), -1 if item is None else item, item)
+                         for item, x in codes if len(x) == size)
+            if own:
+                self.short[size] = np.array([h for h, *_ in own], np.uint64), [item for *_, item in own]
         seeds = [rolling_hashes(x) for _, x in self.items]
         self.sizes = np.array([len(x) for _, x in self.items], np.int64)
         hashes = np.concatenate([np.zeros(0, np.uint64), *seeds])
@@ -124,8 +131,10 @@ def _matches(batch: pa.RecordBatch, items: Items, least: float) -> Iterator[tupl
             bounds.append(len(words))
             chars += len(text)
             at += 1
-        where, item, place = items.seeds(rolling_hashes(word_codes(words)))
-        ends = np.array(bounds)
+        codes, ends = word_codes(words), np.array(bounds)
+        for doc, item, size in _whole(codes, ends, items):
+            yield first + doc, item, 1.0, 1, size
+        where, item, place = items.seeds(rolling_hashes(codes))
         doc = np.searchsorted(ends, where, side="right")
         inside = where + MIN_WORDS <= ends[np.minimum(doc, len(ends) - 1)]
         where, item, place, doc = where[inside], item[inside], place[inside], doc[inside]
@@ -144,6 +153,19 @@ def _matches(batch: pa.RecordBatch, items: Items, least: float) -> Iterator[tupl
                 yield first + int(doc[a]), items.items[item[a]][0], float(coverage), len(found), max(k for _, _, k in found)
 
 
+def _whole(codes: np.ndarray, ends: np.ndarray, items: Items) -> Iterator[tuple[int, int | None, int]]:
+    """(document, item_id, words) of the short items whose words stand in a row in a document."""
+    for size, (hashes, names) in items.short.items():
+        windows = rolling_hashes(codes, size)
+        where = np.flatnonzero(np.isin(windows, hashes))
+        doc = np.searchsorted(ends, where, side="right")
+        inside = where + size <= ends[np.minimum(doc, len(ends) - 1)]
+        found = np.unique(np.rec.fromarrays([doc[inside], windows[where[inside]]], names="doc,h"))
+        low, high = (np.searchsorted(hashes, found.h, side) for side in ("left", "right"))
+        for d, a, b in zip(found.doc.tolist(), low.tolist(), high.tolist(), strict=True):
+            yield from ((d, names[i], size) for i in range(a, b))
+
+
 def _finder(rows: list[tuple], least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows)
@@ -183,8 +205,9 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE)
     Words are split at blanks and ASCII punctuation and lower-cased. ``items`` (item_id, text) is
     the test set; it is sent to tasks in blocks of about ``BLOCK_ITEMS`` items, each of which
     passes over all documents, which do not move. Null texts hold no words. Items of fewer than
-    ``MIN_WORDS`` words are found nowhere. Repeated rows are reported once; documents without a
-    doc_id are reported with null.
+    ``MIN_WORDS`` words are found where all their words stand in a row, with coverage 1; those without
+    a word are found nowhere. Repeated rows are reported once; documents without a doc_id are reported
+    with null.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return reduce(DataFrame.unionByName, [rows.mapInArrow(_finder(block, least), _FOUND)

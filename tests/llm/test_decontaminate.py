@@ -74,5 +74,19 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert dc.without_tests(rows, spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_short_items_are_found_whole(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(rng.choices("abc", k=i % 4 + 1))) for i in range(12)] + [(50, "a, B"), (51, ""), (52, None)]
+    docs = [(i, " ".join(rng.choices("abcd", k=rng.randrange(9)))) for i in range(60)] + [(99, "a b " * 40_000), (100, None)]
+    _, found = run(spark, docs, [*items, (53, ITEM), (None, "d d")])
+    got = sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"], r["coverage"], r["longest"]) for r in found.collect())
+    want = [(d, -1 if i is None else i, 1.0, len(dc.words_of(item))) for d, text in docs for i, item in [*items, (None, "d d")]
+            if text and item and f" {b' '.join(dc.words_of(item)).decode()} " in f" {b' '.join(dc.words_of(text)).decode()} "]
+    assert got == sorted(want) and len(want) > 100
+    rows = spark.createDataFrame([(1, "x y z"), (2, "x"), (3, "yz x y")], "doc_id long, text string")
+    kept = dc.without_tests(rows, spark.createDataFrame([(1, "y z")], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, ITEM)])[1].count() == 0 and run(spark, [(1, ITEM)], [])[1].count() == 0
