@@ -80,6 +80,22 @@ def split_frames(spark, sf_dir):
         "burst_id", big("frame_no"), "complete", md5_of("jobdata", "data_md5"))
 
 
+@query
+def split_streams(spark, sf_dir):
+    """Each document as the bytes that one peer sent, cut by three sizes."""
+    path = work_path(spark, "streams")
+    number, content = F.col("doc_id"), F.coalesce("text", F.lit("")).cast("binary")
+    file_io.write_files(fx.table(spark, sf_dir, "documents").select(
+        number.cast("string").alias("message_id"), F.lit(0).alias("part_no"), F.lit(1).alias("n_parts"),
+        F.lit(0).alias("byte_offset"), F.octet_length(content).alias("total_bytes"), content.alias("content")), path)
+    address = F.regexp_extract("path", "/m-([0-9]+)\\z", 1).cast("bigint").alias("ipaddress")
+    found = wire.stored_streams(spark, f"{path}/*").select("path", "length", address)
+    sizes = fx.table(spark, sf_dir, "documents").select(
+        number.alias("ipaddress"), (number % 3 * 256 + 512).cast("int").alias("frame_size"))
+    return wire.split_streams(found, sizes, range_bytes=4096).select(
+        F.col("ipaddress").alias("doc_id"), "frame_no", "complete", md5_of("jobdata", "data_md5"))
+
+
 @query
 def ingest_frames(spark, sf_dir):
     jobs = fx.received_messages(spark, sf_dir)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +18,76 @@ from ..operators.framing import JOB_COLUMNS
 from ..operators.lookups import join_lookup
 
 
-def read_frames(spark: SparkSession, path: str, size: int) -> DataFrame:
-    """Files of equally long frames, read in parallel splits.
+# Bytes of a stored stream that one row of work covers, and those a task holds at a time.
+RANGE_BYTES = 64 << 20
+STEP_BYTES = 4 << 20
+STREAM_FRAMES = "path string, ipaddress long, frame_no long, jobdata binary, complete boolean"
+
+
+def stored_streams(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, length`` of the files of received bytes below a path; their contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length")
+
+
+def _frame_ranges(streams: DataFrame, range_bytes: int) -> DataFrame:
+    """Ranges of whole frames, of about ``range_bytes`` each; the last one also covers the remainder."""
+    size = F.col("frame_size").cast("bigint")
+    per_range = F.greatest(F.lit(1), F.floor(F.lit(range_bytes) / size)).cast("bigint")
+    ranges = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("length") / (per_range * size)).cast("bigint") - 1)
+    return (
+        streams.filter(F.col("length") > 0).withColumn("_range", F.explode(ranges))
+        .select("path", "ipaddress", size.alias("frame_size"), (F.col("_range") * per_range).alias("first_frame"),
+                F.least(per_range * size, F.col("length") - F.col("_range") * per_range * size).alias("n_bytes"))
+    )
+
 
-    The length of each file has to be a multiple of ``size``.
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frames of each range, cut by offsets in steps of ``STEP_BYTES``: no Python work per frame."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            system, name = pa.fs.FileSystem.from_uri(re.sub(r"\Afile:/+", "/", row["path"]))
+            size, at, left = row["frame_size"], row["first_frame"] * row["frame_size"], row["n_bytes"]
+            step = max(1, STEP_BYTES // size) * size
+            with system.open_input_file(name) as stored:
+                while left:
+                    data = stored.read_at(min(step, left), at)
+                    if len(data) < min(step, left):
+                        raise OSError(f"{row['path']} became shorter than it was listed")
+                    starts = np.arange(0, len(data), size)
+                    offsets = np.append(starts, len(data)).astype(np.int32)
+                    n = len(starts)
+                    frames = pa.Array.from_buffers(
+                        pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([row["path"]] * n, pa.string()),
+                        pa.array(np.full(n, row["ipaddress"] or 0), pa.int64(), mask=np.full(n, row["ipaddress"] is None)),
+                        pa.array((at + starts) // size), frames, pa.array(np.diff(offsets) == size)],
+                        ["path", "ipaddress", "frame_no", "jobdata", "complete"])
+                    at, left = at + len(data), left - len(data)
+
+
+def split_streams(streams: DataFrame, sizes: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Cuts stored byte streams of any length into frames of the size agreed with their address.
+
+    ``streams``: path, length, ipaddress; one file holds what one connection received. ``sizes``: ipaddress,
+    frame_size. Files are cut into ranges that begin at a frame, so one long file is read by many tasks,
+    and no task holds more than ``STEP_BYTES`` or one frame. What is left at the end of a file is a row with ``complete``
+    false, for the next burst. A file from an address without a size above 0 gives no frame, an empty
+    one neither. Only paths and ranges are shuffled.
     """
-    records = spark.sparkContext.binaryRecords(path, size)
-    return records.map(lambda record: (bytearray(record),)).toDF("jobdata binary")
+    sized = join_lookup(streams.select("path", "length", "ipaddress"),
+                        sizes.select("ipaddress", "frame_size").filter(F.col("frame_size") > 0), ["ipaddress"],
+                        spread_by=F.col("path"))
+    ranges = _frame_ranges(sized, range_bytes).repartition("path", "first_frame")
+    return ranges.mapInArrow(_read_ranges, STREAM_FRAMES)
+
+
+def read_frames(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """``jobdata, complete`` of files of equally long frames, read in parallel ranges."""
+    files = stored_streams(spark, path).withColumns({
+        "ipaddress": F.lit(None).cast("bigint"), "frame_size": F.lit(size)})
+    ranges = _frame_ranges(files, RANGE_BYTES).repartition("path", "first_frame")
+    return ranges.mapInArrow(_read_ranges, STREAM_FRAMES).select("jobdata", "complete")
 
 
 def split_frames(bursts: DataFrame, sizes: DataFrame) -> DataFrame:

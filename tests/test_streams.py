@@ -406,6 +406,31 @@ def test_fixed_size_frames_are_read_in_splits(spark, tmp_path):
     assert sorted(bytes(r.jobdata) for r in got.collect()) == frames
 
 
+def test_byte_streams_are_cut_by_the_size_of_their_peer(spark, tmp_path):
+    """Three sizes, files that end within a frame, an empty file, a peer without a size; many ranges and steps."""
+    sizes = {1: 10, 2: 147, 3: 1000, 4: 0}
+    data = {(ip, n): content(n, ip * 100_000 + n) for ip in (1, 2, 3, 4, 5) for n in (0, 9, 147, 1000, 5003)}
+    for (ip, n), sent in data.items():
+        (tmp_path / f"{ip}-{n}").write_bytes(sent)
+    found = wire.stored_streams(spark, str(tmp_path)).withColumn(
+        "ipaddress", F.regexp_extract("path", "/([0-9]+)-[0-9]+$", 1).cast("long"))
+    agreed = spark.createDataFrame(list(sizes.items()), "ipaddress long, frame_size int")
+    want = {}
+    for (ip, n), sent in data.items():
+        if sizes.get(ip):
+            for no in range(-(-n // sizes[ip])):
+                piece = sent[no * sizes[ip]:(no + 1) * sizes[ip]]
+                want[f"{ip}-{n}", ip, no] = piece, len(piece) == sizes[ip]
+    for range_bytes in (wire.RANGE_BYTES, 700):
+        rows = wire.split_streams(found, agreed, range_bytes).collect()
+        got = {(r.path.rsplit("/", 1)[1], r.ipaddress, r.frame_no): (bytes(r.jobdata), r.complete) for r in rows}
+        assert got == want and len(rows) == len(want)
+    plan = wire._frame_ranges(found.withColumn("frame_size", F.lit(147)), 700)
+    ranges = plan.filter("path LIKE '%/2-5003'").collect()
+    assert sorted((r.first_frame, r.n_bytes) for r in ranges) == [
+        (4 * i, min(588, 5003 - 588 * i)) for i in range(9)]
+
+
 def test_logs_are_kept_by_day(spark, folder):
     rows = spark.createDataFrame([("x", S.AT), ("y" * 3000, S.AT + timedelta(days=1))],
                                  "t string, at timestamp")
