@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import frames as X
 from ..operators.lookups import join_lookup
 from ..session import cut_lineage
+from . import listing
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -50,19 +51,28 @@ def import_files(spark: SparkSession, path: str | list[str], created_at, existin
                  glob: str | None = None, recursive: bool = False) -> DataFrame:
     """Files below a path or several, named by it, empty ones too. Names stored already are left out.
 
-    One row per file; a file above 2 GB does not fit a row and fails the read.
+    One row per file; a file above 2 GB does not fit a row and fails the read. Mounted folders are listed
+    and read by tasks; other file systems by Spark's reader.
     """
+    files = as_files(_found(spark, path, glob, recursive), created_at)
+    if existing is not None:
+        files = files.join(existing.select("file_name"), "file_name", "left_anti").select(
+            *files.columns)
+    return files
+
+
+def _found(spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool) -> DataFrame:
+    """``path, length, content`` of the files to import."""
+    roots = None if glob and listing.PATTERN.search(glob) else listing.mounted_roots(path)
+    if roots:
+        return listing.contents(spark, listing.listed(spark, roots, glob, recursive))
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     found = reader.load(path)
-    files = as_files(found.select("path", "length", "content").unionByName(_empty_files(spark, found)), created_at)
-    if existing is not None:
-        files = files.join(existing.select("file_name"), "file_name", "left_anti").select(
-            *files.columns)
-    return files
+    return found.select("path", "length", "content").unionByName(_empty_files(spark, found))
 
 
 def import_files_stream(spark: SparkSession, path: str, created_at) -> DataFrame:
