@@ -33,12 +33,12 @@ def stalled_parents(jobs: DataFrame) -> DataFrame:
     """Waiting parents that have a dead child and therefore never complete."""
     dead = (
         jobs.filter(F.col("jstate") == L.DEAD)
-        .groupBy("jparent_jobid").agg(F.count("*").alias("dead_children"))
-        .withColumnRenamed("jparent_jobid", "jobid")
+        .groupBy(X.packed_id(F.col("jparent_jobid")).alias("_key")).agg(F.count("*").alias("dead_children"))
     )
     waiting = jobs.filter(F.col("jstate").isin(L.CHUNKED_WAITING, L.SINGLE_WAITING)).select(
-        "jobid", "jstate", "jdestination")
-    return waiting.join(dead, "jobid")
+        X.packed_id(F.col("jobid")).alias("_key"), "jstate", "jdestination")
+    return waiting.join(dead, "_key").select(
+        X.unpacked_id(F.col("_key")).alias("jobid"), "jstate", "jdestination", "dead_children")
 
 
 def stalled_jobs(jobs: DataFrame, peers: DataFrame) -> DataFrame:
