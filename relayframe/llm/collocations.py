@@ -1,7 +1,7 @@
 """Phrases whose words occur together more often than their parts would by chance.
 
 Texts become blocks of word numbers local to the block. Words that occur often enough get dense ids; no
-task holds the vocabulary, as each block is joined with the ids of its own words. A phrase that is
+task holds the vocabulary, as each block is joined, where it lies, with the ids of its own words. A phrase that is
 frequent has only frequent words, and its pairs of neighbours are frequent too, so pairs are counted
 first and longer phrases only where each pair passes a bit table of the frequent ones, whose size is
 bounded and whose errors only add work. Counting is done by quotient filters (``quotient``): each task
@@ -10,6 +10,7 @@ writes its filters cut into ranges of the permuted key space, and the filters of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from relayframe.llm.quotient import Counting, Filter, Packing
 from relayframe.llm.tables import read
 from relayframe.operators.numbering import dense_numbers
-from relayframe.session import cut_lineage
+from relayframe.session import STAGED_CODEC, cut_lineage, work_path
 
 #: A-Z folded, ends of pieces as line feeds, tabs as blanks.
 _FOLD = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -74,6 +75,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block(lang)
 
 
+def _by_block(blocks: DataFrame) -> DataFrame:
+    """Blocks written in buckets, so that the ids of their words are joined with them where they lie."""
+    spark, name = blocks.sparkSession, f"word_blocks_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (blocks.write.bucketBy(n, "block").option("path", work_path(spark, name)).option("compression", STAGED_CODEC)
+     .saveAsTable(name))
+    return spark.table(name)
+
+
 def _renumber(kind: str) -> Callable:
     """Blocks with ids for their frequent words and 0 for all else; runs of 0 are one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,17 +213,19 @@ def collocations(docs: DataFrame, least: int = 100, words: int = 5, first: int =
     time. An empty table gives no rows; other columns are not read.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    blocks = cut_lineage(texts.mapInArrow(_blocks, _BLOCKS), "blocks")
+    blocks = _by_block(texts.mapInArrow(_blocks, _BLOCKS))
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     held = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "held")).select(
         "block", "lang", (F.col("number") + 1).alias("number"), F.col("held.words").alias("word"), F.col("held.counts").alias("f"))
-    frequent = held.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    # The words of the blocks move once: where a word stands goes with its count, one place a block.
+    frequent = held.groupBy("lang", "word").agg(
+        F.sum("f").alias("f"), F.collect_list(F.struct("block", "number")).alias("places")).where(F.col("f") >= least)
     vocabulary = cut_lineage(dense_numbers(frequent, "id"), "vocabulary")
     n_words = vocabulary.agg(F.max("id")).first()[0] or 0
-    own = (held.select("block", "lang", "word", "number").join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
-           .groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("ids")))
+    own = (vocabulary.select("id", F.explode("places").alias("place")).select("place.block", F.struct("place.number", "id").alias("pair"))
+           .groupBy("block").agg(F.collect_list("pair").alias("ids")))
     bits = max(1, n_words.bit_length())
-    numbered = cut_lineage(blocks.select("block", "tokens").join(own, "block").select("tokens", "ids")
+    numbered = cut_lineage(blocks.select("block", "tokens").join(own.hint("shuffle_hash"), "block").select("tokens", "ids")
                            .mapInArrow(_renumber(_kind(bits)), "ids binary"), "numbered")
     pairs = _count(numbered, Packing(2, bits), least)
     found = pairs

@@ -124,3 +124,13 @@ def test_filters_are_smaller_than_their_keys():
     limbs = packing.pack([np.arange(1 << 16), np.arange(1 << 16)[::-1]])
     whole = Filter.of(packing, packing.permute(limbs))
     assert sum(len(part.encode(4)) for _, part in whole.ranges(4)) < 6 * len(whole)
+
+
+def test_blocks_are_joined_where_they_lie(spark, monkeypatch):
+    seen, inner = [], co.cut_lineage
+    monkeypatch.setattr(co, "cut_lineage", lambda df, name="step": seen.append((name, df)) or inner(df, name))
+    assert found(spark, samples(3), 5) == brute(samples(3), 5, 5, 2000)
+    plan = dict(seen)["numbered"]._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    tokens = [line for line in physical.splitlines() if "Exchange" in line and "tokens" in line]
+    assert "Bucketed: true" in physical and not tokens
