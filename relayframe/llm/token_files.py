@@ -15,9 +15,11 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +34,12 @@ BLOCK_IDS = 1 << 17
 #: Bytes of pieces and ids that a worker remembers, beyond which its memory starts anew, what each piece
 #: takes besides its text and ids, and the longest piece that is remembered.
 CACHE_BYTES, PIECE_BYTES, LONGEST_PIECE = 256 << 20, 180, 200
-#: Pieces given to the tokenizer together, and documents handed on together.
-PIECES_AT_ONCE, ROWS_AT_ONCE = 2000, 200
+#: Pieces given to the tokenizer together, bytes of whole texts cut together, and documents handed on together.
+PIECES_AT_ONCE, BYTES_AT_ONCE, ROWS_AT_ONCE = 2000, 8 << 20, 200
+#: Bytes of cut pieces and ids that a worker remembers besides, and what each takes in places and hashes.
+KNOWN_BYTES, KNOWN_EACH = 16 << 20, 32
+#: What a document counts for besides its text's bytes.
+ROW_BYTES = 64
 #: Longest code in bits, and two more than the ids need where that is longer.
 LIMIT = 18
 
@@ -50,6 +56,23 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
 #: if it is U+0020. Four control characters are blanks for Python alone; texts with them are cut by _WORD.
 _RUN, _ODD = re.compile(r"(\s\s+)"), re.compile("[\x1c-\x1f]")
 
+#: A piece that is one to the tokenizer's own split.
+_SINGLE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+)")
+
+#: Kinds of bytes. The letters are those of _WORD; controls and other characters beyond ASCII are of no kind.
+_OTHER, _GAP, _LETTER, _DIGIT, _MARK = range(5)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[33:127] = _MARK
+_KINDS[[9, 10, 11, 12, 13, 32]] = _GAP
+_KINDS[48:58] = _DIGIT
+_KINDS[65:91] = _KINDS[97:123] = _LETTER
+
+#: Two kinds side by side, as ``before << 3 | after``, between which every text can be cut, but for a letter
+#: behind an apostrophe.
+_APART = np.zeros(64, bool)
+for _kind in (_LETTER, _DIGIT, _MARK):
+    _APART[[_kind << 3 | other for other in (_GAP, _LETTER, _DIGIT, _MARK) if other != _kind]] = True
+
 #: The letters by which byte-level vocabularies spell bytes: printable ones by themselves, the rest,
 #: in order, by the code points from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -69,6 +92,46 @@ def tokenizer_json(path: str) -> str:
         return file.read()
 
 
+def _ends_in_gap(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character beyond ASCII whose last byte is at ``at`` is, or ever was, a Unicode blank."""
+    third, second, last = raw[np.maximum(at - 2, 0)], raw[np.maximum(at - 1, 0)], raw[at]
+    general = (third == 0xE2) & (second == 0x80) & ((last <= 0x8B) | (last == 0xA8) | (last == 0xA9) | (last == 0xAF))
+    return (general | (second == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (third == 0xE2) & (second == 0x81)
+            | (third == 0xE1) & ((second == 0x9A) | (second == 0xA0)) | (third == 0xE3) & (second == 0x80) & (last == 0x80))
+
+
+def piece_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces start in the UTF-8 bytes of texts that lie one behind the other from ``starts`` on.
+
+    A piece gives the same ids alone as in its text: no token of the byte-level split spans a cut, and that
+    split looks ahead only from blanks, which end a piece only where it would end a token there too.
+    """
+    kind = _KINDS[raw]
+    lead = np.flatnonzero((raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC9))
+    if len(lead):
+        first, second = raw[lead], raw[lead + 1]
+        lead = lead[~((first == 0xC3) & ((second == 0x97) | (second == 0xB7)) | (first == 0xC9) & (second > 0x8F))]
+        kind[lead] = kind[lead + 1] = _LETTER
+    pair = kind[:-1] << 3 | kind[1:]
+    starts = starts[starts < len(raw)]
+    pair[starts[starts > 0] - 1] = _OTHER  # neighbours, but of two texts
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = _APART[pair]
+    quoted = np.flatnonzero(raw[:-1] == ord("'"))
+    cut[quoted[pair[quoted] & 7 == _LETTER] + 1] = False
+    foreign = np.flatnonzero(pair == _GAP)
+    foreign = foreign[raw[foreign] >= 0x80]
+    cut[foreign[~_ends_in_gap(raw, foreign)] + 1] = True
+    cut[starts] = True
+    # The last blank of a run goes with what follows if it is U+0020, and is a piece by itself if not.
+    last = np.flatnonzero((pair >> 3 == _GAP) & (pair & 7 > _GAP))
+    run = last[last > 0]
+    cut[run[pair[run - 1] == (_GAP << 3 | _GAP)]] = True
+    last = last[raw[last] != ord(" ")]
+    cut[last[cut[last]] + 1] = True
+    return np.flatnonzero(cut)
+
+
 class _Remembered(dict):
     """Ids of pieces by the piece itself; of those behind a blank, by what follows it."""
 
@@ -91,6 +154,9 @@ class _Remembered(dict):
 class PieceEncoder:
     """Ids of texts; every distinct short piece is given to the tokenizer once while it is remembered.
 
+    ``encode_all`` cuts many texts together and looks up each distinct piece of them once; ``encode``
+    takes one text, for tokenizers and texts that ``encode_all`` does not cut.
+
     Between two characters that are no blanks, a single U+0020 starts a piece of the tokenizer's split
     and a single line feed is one, so such texts are cut by plain splitting; texts that hold an added
     token, such as one for the end of a text, go to the tokenizer whole.
@@ -108,6 +174,7 @@ class PieceEncoder:
         self.by_bytes = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and not pre.get("add_prefix_space") and parts["model"]["type"] == "BPE")
         self.known: dict[str, bytes] = {}
+        self.known_pieces, self.known_ids = pa.array([], pa.binary()), pa.array([], pa.binary())
         self.first, self.behind, self.held = _Remembered(self, ""), _Remembered(self, " "), 0
 
     def hold(self, piece: str, ids: bytes) -> None:
@@ -188,6 +255,77 @@ class PieceEncoder:
         out.append(self.end)
         return b"".join(out)
 
+    def _ids(self, pieces: pa.BinaryArray) -> pa.BinaryArray:
+        """Ids of pieces of texts cut by ``piece_starts``."""
+        texts = pieces.cast(pa.string()).to_pylist()
+        single = [_SINGLE.fullmatch(text) is not None for text in texts]
+        words = "\n".join(compress(texts, single)).encode().decode("latin-1")
+        for byte in set(words) - {"\n"}:  # few; translate takes its time for each letter
+            words = words.replace(byte, chr(_BYTE_LETTERS.get(ord(byte), ord(byte))))
+        of_words = ([token.id for token in self.model.tokenize(word)] for word in words.split("\n"))
+        rest = [text for text, one in zip(texts, single, strict=True) if not one]
+        of_rest = (got.ids for at in range(0, len(rest), PIECES_AT_ONCE)
+                   for got in self.tokenizer.encode_batch_fast(rest[at : at + PIECES_AT_ONCE], add_special_tokens=False))
+        found = [next(of_words if one else of_rest) for one in single]
+        ends = np.cumsum([0, *map(len, found)]).astype("<i4")
+        flat = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1]))
+        return pa.BinaryArray.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(ends * 4), pa.py_buffer(flat)])
+
+    def _numbered(self, pieces: pa.BinaryArray) -> tuple[np.ndarray, pa.BinaryArray]:
+        """For each piece its place in the array of ids that is returned; new pieces are remembered.
+
+        Remembered pieces are encoded in front of the given ones, so they keep their places. When they
+        take too much, only those of this call are kept.
+        """
+        coded = pa.chunked_array([self.known_pieces, pieces]).dictionary_encode().chunks[-1]
+        every, places = coded.dictionary, coded.indices.to_numpy()
+        ids = pa.concat_arrays([self.known_ids, self._ids(every.slice(len(self.known_pieces)))])
+        sizes = pc.binary_length(every).to_numpy()
+        keep = sizes <= LONGEST_PIECE
+        sizes = sizes + pc.binary_length(ids).to_numpy() + KNOWN_EACH
+        if sizes[keep].sum() > KNOWN_BYTES:
+            keep &= np.bincount(places, minlength=len(every)) > 0
+            keep &= np.cumsum(sizes * keep) <= KNOWN_BYTES
+        kept = pa.array(keep)
+        self.known_pieces, self.known_ids = every.filter(kept), ids.filter(kept)
+        return places, ids
+
+    def _together(self, texts: pa.StringArray) -> pa.BinaryArray:
+        """``encode`` of texts without added tokens, none null: pieces are cut and put together as arrays."""
+        n = len(texts)
+        starts = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset : texts.offset + n + 1]
+        if starts[0] == starts[-1]:
+            return pa.array([self.end] * n, pa.binary())
+        raw = np.frombuffer(texts.buffers()[2], np.uint8)[starts[0] : starts[-1]]
+        starts = starts - starts[0]
+        cuts = piece_starts(raw, starts)
+        bounds = pa.py_buffer(np.append(cuts, len(raw)).astype("<i4"))
+        pieces = pa.BinaryArray.from_buffers(pa.binary(), len(cuts), [None, bounds, pa.py_buffer(raw)])
+        places, ids = self._numbered(pieces)
+        # Each text's pieces and, behind them, the end id.
+        firsts = np.searchsorted(cuts, starts)
+        order = np.insert(places, firsts[1:], len(ids))
+        flat = pa.concat_arrays([ids, pa.array([self.end], pa.binary())]).take(pa.array(order))
+        ends = np.frombuffer(flat.buffers()[1], "<i4")[firsts + np.arange(n + 1)]
+        return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), flat.buffers()[2]])
+
+    def encode_all(self, texts: pa.StringArray) -> pa.BinaryArray:
+        """``encode`` of every text; a null text is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_bytes:
+            return pa.array([self.encode(text) for text in texts.to_pylist()], pa.binary())
+        whole = pa.array(np.zeros(len(texts), bool))
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        if not whole.true_count:
+            return self._together(texts)
+        ids = self._together(pc.if_else(whole, "", texts))
+        alone = pa.array([self.encode(text) for text in texts.filter(whole).to_pylist()], pa.binary())
+        return pc.replace_with_mask(ids, whole, alone)
+
+
+_IDS = ["part", "seq", "doc_id", "ids", "counts"]
+
 
 @cache
 def _shared_encoder(content: str, end_id: int) -> PieceEncoder:
@@ -195,54 +333,91 @@ def _shared_encoder(content: str, end_id: int) -> PieceEncoder:
     return PieceEncoder(content, end_id)
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.StringArray]]:
+    """``doc_id`` and ``text`` in order, of about ``BYTES_AT_ONCE`` bytes, or of one longer text, at once."""
+    held, size = [], 0
+
+    def group() -> tuple[pa.Array, pa.StringArray]:
+        return tuple(pa.concat_arrays([x[i] for x in held]) for i in range(2))
+
+    for batch in batches:
+        doc_ids, texts = batch.column("doc_id"), batch.column("text").cast(pa.string())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64) + ROW_BYTES)
+        at = before = 0
+        while at < len(texts):
+            n = int(np.searchsorted(ends, before + BYTES_AT_ONCE - size, "right")) - at
+            if n < 1 and held:
+                yield group()
+                held, size = [], 0
+                continue
+            n = max(n, 1)
+            held.append((doc_ids.slice(at, n), texts.slice(at, n)))
+            size, before, at = size + int(ends[at + n - 1]) - before, int(ends[at + n - 1]), at + n
+    if held:
+        yield group()
+
+
 def _encoder(content: str, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seq = _shared_encoder(content, end_id), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text")
-            for at in range(0, len(texts), ROWS_AT_ONCE):
-                ids = [encoder.encode(text.as_py() or "") for text in texts.slice(at, ROWS_AT_ONCE)]
+        counts = np.zeros(0, np.int64)
+        for doc_ids, texts in _groups(batches):
+            every = encoder.encode_all(texts)
+            counts = _added(counts, np.bincount(_values(every)))
+            for at in range(0, len(every), ROWS_AT_ONCE):
+                ids = every.slice(at, ROWS_AT_ONCE)
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
-                     doc_ids.slice(at, n), pa.array(ids, pa.binary())], ["part", "seq", "doc_id", "ids"])
+                     doc_ids.slice(at, n), ids, pa.nulls(n, pa.binary())], _IDS)
                 seq += n
+        if seq:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([counts.astype("<i8").tobytes()], pa.binary())], _IDS)
 
     return run
 
 
 def tokenize(docs: DataFrame, content: str, end_id: int = END_ID) -> DataFrame:
-    """``part, seq, doc_id, ids``: every text's ids as little-endian unsigned 32-bit integers.
+    """``part, seq, doc_id, ids, counts``: every text's ids as little-endian unsigned 32-bit integers.
 
     (part, seq) follows ascending doc_id, null first, rows of one doc_id by text. Null text is
     empty. The strings of added tokens give their ids, as the tokenizer does. Texts are ranged by doc_id,
-    the only time they move.
+    the only time they move. One more row of each part, without seq and ids, has ``counts``: how often
+    the part holds each id from 0 on, as little-endian 64-bit integers.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(_encoder(content, end_id), "part int, seq long, doc_id long, ids binary")
+    return ordered.mapInArrow(_encoder(content, end_id), "part int, seq long, doc_id long, ids binary, counts binary")
+
+
+def _values(column: pa.BinaryArray) -> np.ndarray:
+    """All ids of a column; they stand one after the other, from its first offset to its last."""
+    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u4")
+
+
+def _added(total: np.ndarray, found: np.ndarray) -> np.ndarray:
+    if len(found) > len(total):
+        found, total = total, found
+    total[: len(found)] += found
+    return total
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        column = batch.column("ids")
-        if not len(column):
-            continue
-        # The values of a binary column stand one after the other, from its first offset to its last.
-        offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
-        found = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u4"))
-        if len(found) > len(total):
-            found, total = total, found
-        total[: len(found)] += found
+        for counts in batch.column("counts"):
+            total = _added(total, np.frombuffer(counts.as_py(), "<i8").astype(np.int64))
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
 
 def id_counts(tokens: DataFrame) -> np.ndarray:
     """How often each id occurs. At most one row for each id of the vocabulary reaches the driver."""
-    rows = (tokens.select("ids").mapInArrow(_count, "id long, n long")
+    rows = (tokens.where("counts IS NOT NULL").select("counts").mapInArrow(_count, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, np.int64)
     counts[rows["id"].to_numpy(int)] = rows["n"].to_numpy(int)
@@ -292,7 +467,7 @@ def write_token_files(docs: DataFrame, path: str, content: str, end_id: int = EN
     """Tokenizes every text and writes the folder ``path`` in the format of this module.
 
     Ids are written once in the shared folder, compressed, as the code needs the counts of all
-    of them before the first can be packed.
+    of them before the first can be packed. Each task counts its own, so they are read once.
     """
     spark = docs.sparkSession
     staged = work_path(spark, "token-ids")
@@ -302,7 +477,8 @@ def write_token_files(docs: DataFrame, path: str, content: str, end_id: int = EN
     lengths = huffman.code_lengths(counts, max(LIMIT, len(counts).bit_length() + 2))
     code = [(i, int(x)) for i, x in enumerate(lengths) if x]
     spark.createDataFrame(code, "id long, length int").coalesce(1).write.parquet(f"{path}/codes")
-    tokens.mapInArrow(_packer(lengths), _BLOCK_DDL).write.parquet(f"{path}/blocks")
+    rows = tokens.where("seq IS NOT NULL").drop("counts")
+    rows.mapInArrow(_packer(lengths), _BLOCK_DDL).write.parquet(f"{path}/blocks")
 
 
 def read_code(spark: SparkSession, path: str) -> np.ndarray:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from relayframe.llm import huffman as h
@@ -102,3 +103,70 @@ def test_files_round_trip(spark, folder, tokenizer, monkeypatch):
 
 def test_empty_table(spark):
     assert tf.token_digests(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def _encoded(encoder, texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(pa.array(texts, pa.string())).to_pylist()]
+
+
+def _whole(tokenizer, texts):
+    return [[*tokenizer.encode(text or "", add_special_tokens=False).ids, 2] for text in texts]
+
+
+def test_texts_cut_together_encode_as_whole_texts(tokenizer):
+    encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
+    blanks = [chr(i) for i in range(0x3001) if chr(i).isspace()] + ["​", "᠎", "﻿"]
+    texts = [*HARD, None, "", *[f"x{a}{b}word{a}{b}{a}y{a}" for a in blanks for b in blanks]]
+    texts += [a + b + c for a in (*blanks, "слово", "中", "é", "x", "'", ".") for b in (" ", "\n", "\r") for c in ("w", "7", "!", "é", "中", "")]
+    rng = np.random.default_rng(11)
+    pieces = [*blanks, *" \n" * 6, *"word Été x 中 7 '' 's 'll . # ß × ÷ ɏ ɐ Ã é слово \x00 \x1c \x7f 😀 don't".split(" ")]
+    texts += ["".join(rng.choice(pieces, rng.integers(0, 30))) for _ in range(20000)]
+    every = "".join(chr(i) for i in (*range(0x250), 0x300, 0x2028, 0x3000))
+    texts += ["".join(rng.choice(list(every), 40)) for _ in range(5000)]
+    want = _whole(tokenizer, texts)
+    assert _encoded(encoder, texts) == want
+    assert _encoded(encoder, texts[::-1]) == want[::-1]  # now with all pieces remembered
+    assert _encoded(encoder, ["", None]) == [[2], [2]] and _encoded(encoder, []) == []
+    sliced = encoder.encode_all(pa.array(texts, pa.string()).slice(7, 300))
+    assert [np.frombuffer(x, "<u4").tolist() for x in sliced.to_pylist()] == want[7:307]
+
+
+def test_each_distinct_word_is_looked_up_once_for_many_texts():
+    encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
+    given, ids = [], encoder._ids
+    encoder._ids = lambda pieces: given.append(pieces.to_pylist()) or ids(pieces)
+    encoder.encode_all(pa.array(["the cat, the dog###", "The cat; the\n\ndog the cat"] * 50))
+    encoder.encode_all(pa.array(["the cat! the bird"]))
+    assert sorted(given[0]) == sorted([b"the", b" cat", b",", b" the", b" dog", b"###", b"The", b";", b"\n", b"dog"])
+    assert given[1] == [b"!", b" bird"]
+
+
+def test_memory_of_cut_pieces_is_bounded_in_bytes(monkeypatch, tokenizer):
+    monkeypatch.setattr(tf, "KNOWN_BYTES", 20_000)
+    encoder = tf.PieceEncoder(tf.tokenizer_json(PATH), 2)
+    for i in range(60):
+        texts = [f"{'中' * 300} w{i}a{j} w{chr(97 + j % 26) * (i + 1)} common {'x' * 300}" for j in range(50)] + ["a <|endoftext|> b"]
+        assert _encoded(encoder, texts) == _whole(tokenizer, texts)
+        pieces = encoder.known_pieces.to_pylist()
+        assert sum(map(len, pieces)) + sum(map(len, encoder.known_ids.to_pylist())) + tf.KNOWN_EACH * len(pieces) <= 20_000
+        assert max(map(len, pieces)) <= tf.LONGEST_PIECE and len(set(pieces)) == len(pieces) == len(encoder.known_ids)
+    assert b" common" in pieces
+
+
+def test_groups_keep_rows_in_order(monkeypatch):
+    monkeypatch.setattr(tf, "BYTES_AT_ONCE", 1000)
+    rng = np.random.default_rng(5)
+    rows = [(i, None if i % 17 == 0 else "é" * int(rng.choice([0, 3, 40, 600, 2000]))) for i in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[a : a + 37]]), pa.array([r[1] for r in rows[a : a + 37]], pa.string())],
+                                          ["doc_id", "text"]) for a in range(0, 400, 37)]
+    groups = [list(zip(d.to_pylist(), t.to_pylist(), strict=True)) for d, t in tf._groups(iter(batches))]
+    assert [r for g in groups for r in g] == rows and len(groups) > 5
+    assert all(len(g) == 1 or sum(len((t or "").encode()) + tf.ROW_BYTES for _, t in g) <= 1000 for g in groups)
+
+
+def test_tasks_count_their_ids(spark):
+    docs = spark.createDataFrame([(i, f"{text} {i % 3}") for i, text in enumerate(HARD * 4)], "doc_id long, text string")
+    tokens = tf.tokenize(docs, tf.tokenizer_json(PATH))
+    ids = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in tokens.where("ids IS NOT NULL").collect()])
+    counts = tf.id_counts(tokens)
+    assert counts.tolist() == np.bincount(ids).tolist() and counts.sum() == len(ids)
