@@ -1,10 +1,11 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A batch of documents adds one run: its distinct line hashes, hashed to buckets and sorted in
-each, with the number of documents and the largest doc_id holding them. All runs have the same
-buckets, so a new batch is merge-anti-joined with them without moving or sorting them again. When
-a level holds ``FANOUT`` runs they are merged into one of the next level; a hash is thus rewritten
-once a level.
+A batch of documents is counted by line hash, hashed to buckets and sorted in each, with the number
+of documents and the largest doc_id holding it. A merge anti join with all earlier runs leaves the
+hashes that are new: they are the batch's run, so a hash is in one run only. The others are updates,
+kept beside the runs and added to them in the end. All have the same buckets, so joins neither move
+nor sort them again. When a level holds ``FANOUT`` runs or updates they are merged into one of the next
+level; a hash is thus rewritten once a level.
 """
 
 from __future__ import annotations
@@ -48,45 +49,59 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Sorted runs of ``h, n_docs, last_doc`` by level, in tables below the shared folder."""
+    """Sorted runs of ``h, n_docs, last_doc``, and updates of them, by level, in tables below the shared folder."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT, n_buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         self.n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
+        self.updates: list[list[str]] = [[]]
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, rows: DataFrame, in_place: bool = False) -> str:
+        """Writes a table; rows joined ``in_place`` already lie in its buckets."""
         name = f"line_run_{uuid.uuid4().hex}"
-        (rows.repartition(self.n_buckets, "h").write.bucketBy(self.n_buckets, "h").sortBy("h")
+        rows = rows if in_place else rows.repartition(self.n_buckets, "h")
+        (rows.write.bucketBy(self.n_buckets, "h").sortBy("h")
          .option("path", work_path(self.spark, name)).saveAsTable(name))
         return name
 
     def _runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
+    def _without(self, batch: str, runs: list[str]) -> DataFrame:
+        """The rows of a batch whose hashes are in none of the runs."""
+        rows = self.spark.table(batch)
+        for run in runs:
+            rows = rows.join(self.spark.table(run).select("h").hint("merge"), "h", "left_anti")
+        return rows
+
     def add(self, lines: DataFrame) -> DataFrame:
         """Takes the ``(doc_id, h)`` of a batch of new documents; returns the hashes no run held.
 
-        The rows returned are ``h, n_docs, last_doc`` of this batch. The batch's run is written
-        first, and the rows are an anti join of that run with each earlier one.
+        The rows returned are ``h, n_docs, last_doc`` of this batch, an anti join of its counts, which are
+        written first, with each earlier run. They are written as the batch's run, and the rest as its updates.
         """
         counts = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        earlier, name = self._runs(), self._write(counts)
-        novel = self.spark.table(name)
-        for run in earlier:
-            novel = novel.join(self.spark.table(run).select("h").hint("merge"), "h", "left_anti")
-        self.levels[0].append(name)
+        earlier, batch = self._runs(), self._write(counts)
+        novel = self._without(batch, earlier)
+        if not earlier:
+            self.levels[0].append(batch)
+            return novel
+        run = self._write(novel, in_place=True)
+        self.updates[0].append(self._write(self._without(batch, [run]), in_place=True))
+        self.levels[0].append(run)
         return novel
 
     def compact(self) -> None:
-        """Merges the runs of every full level into one run of the next."""
-        for depth in range(len(self.levels)):
-            if len(self.levels[depth]) < self.fanout:
-                continue
-            if depth + 1 == len(self.levels):
-                self.levels.append([])
-            self.levels[depth + 1].append(self._write(self._merged(self.levels[depth])))
-            self.levels[depth] = []
+        """Merges the tables of every full level into one of the next."""
+        for levels in (self.levels, self.updates):
+            for depth in range(len(levels)):
+                if len(levels[depth]) < self.fanout:
+                    continue
+                if depth + 1 == len(levels):
+                    levels.append([])
+                levels[depth + 1].append(self._write(self._merged(levels[depth])))
+                levels[depth] = []
 
     def _merged(self, names: list[str]) -> DataFrame:
         # A union of bucketed tables counts as bucketed, but its partitions hold one table each, so
@@ -97,8 +112,22 @@ class LineRuns:
         return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def merged(self) -> DataFrame:
-        """All hashes with their counts over every batch so far."""
-        return self._merged(self._runs())
+        """All hashes with their counts over every batch so far: those of the runs, and what updates add to them."""
+        updates = [name for level in self.updates for name in level]
+        if len(updates) > 1:
+            updates = [self._write(self._merged(updates))]
+            self.updates = [[] for _ in self.updates[1:]] + [updates]
+        parts = []
+        for run in self._runs():
+            rows = self.spark.table(run)
+            for name in updates:
+                later = self.spark.table(name).toDF("h", "n_later", "last_later").hint("merge")
+                rows = rows.join(later, "h", "left").select(
+                    "h", (F.col("n_docs") + F.coalesce("n_later", F.lit(0))).alias("n_docs"),
+                    F.greatest("last_doc", "last_later").alias("last_doc"))
+            # As in _merged: a union of bucketed tables must not count as bucketed.
+            parts.append(rows.select(F.substring("h", 1, HASH_BYTES).alias("h"), "n_docs", "last_doc"))
+        return reduce(DataFrame.unionByName, parts)
 
 
 _KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())])
@@ -130,8 +159,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     Null text counts as one empty line. Rows without a doc_id stay as they are. Every row of
     ``docs`` gives one row.
 
-    Counts come from the runs of all batches; only hashes move until the last join, which moves
-    each text once. A line that a third of the documents share is a hot key of a join that can be
+    Counts come from the runs that batches founded and their updates; only hashes move until the last join, which
+    moves each text once. A line that a third of the documents share is a hot key of a join that can be
     split, against one row.
     """
     spark = docs.sparkSession
