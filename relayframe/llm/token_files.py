@@ -37,7 +37,7 @@ CACHE_BYTES, PIECE_BYTES, LONGEST_PIECE = 256 << 20, 180, 200
 #: Pieces given to the tokenizer together, bytes of whole texts cut together, and documents handed on together.
 PIECES_AT_ONCE, BYTES_AT_ONCE, ROWS_AT_ONCE = 2000, 8 << 20, 200
 #: Bytes of cut pieces and ids that a worker remembers besides, and what each takes in places and hashes.
-KNOWN_BYTES, KNOWN_EACH = 16 << 20, 32
+KNOWN_BYTES, KNOWN_EACH = 32 << 20, 32
 #: What a document counts for besides its text's bytes.
 ROW_BYTES = 64
 #: Longest code in bits, and two more than the ids need where that is longer.
@@ -69,7 +69,7 @@ _KINDS[65:91] = _KINDS[97:123] = _LETTER
 
 #: Two kinds side by side, as ``before << 3 | after``, between which every text can be cut, but for a letter
 #: behind an apostrophe.
-_APART = np.zeros(64, bool)
+_APART = np.zeros(256, bool)
 for _kind in (_LETTER, _DIGIT, _MARK):
     _APART[[_kind << 3 | other for other in (_GAP, _LETTER, _DIGIT, _MARK) if other != _kind]] = True
 
@@ -92,6 +92,11 @@ def tokenizer_json(path: str) -> str:
         return file.read()
 
 
+def _mapped(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[values]`` for bytes; the table has 256 entries of one byte."""
+    return np.frombuffer(bytearray(values).translate(table.tobytes()), table.dtype)
+
+
 def _ends_in_gap(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether the character beyond ASCII whose last byte is at ``at`` is, or ever was, a Unicode blank."""
     third, second, last = raw[np.maximum(at - 2, 0)], raw[np.maximum(at - 1, 0)], raw[at]
@@ -106,7 +111,7 @@ def piece_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     A piece gives the same ids alone as in its text: no token of the byte-level split spans a cut, and that
     split looks ahead only from blanks, which end a piece only where it would end a token there too.
     """
-    kind = _KINDS[raw]
+    kind = _mapped(raw, _KINDS)
     lead = np.flatnonzero((raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC9))
     if len(lead):
         first, second = raw[lead], raw[lead + 1]
@@ -116,7 +121,7 @@ def piece_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     starts = starts[starts < len(raw)]
     pair[starts[starts > 0] - 1] = _OTHER  # neighbours, but of two texts
     cut = np.zeros(len(raw), bool)
-    cut[1:] = _APART[pair]
+    cut[1:] = _mapped(pair, _APART)
     quoted = np.flatnonzero(raw[:-1] == ord("'"))
     cut[quoted[pair[quoted] & 7 == _LETTER] + 1] = False
     foreign = np.flatnonzero(pair == _GAP)
@@ -124,7 +129,7 @@ def piece_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     cut[foreign[~_ends_in_gap(raw, foreign)] + 1] = True
     cut[starts] = True
     # The last blank of a run goes with what follows if it is U+0020, and is a piece by itself if not.
-    last = np.flatnonzero((pair >> 3 == _GAP) & (pair & 7 > _GAP))
+    last = np.flatnonzero((pair > (_GAP << 3 | _GAP)) & (pair < _LETTER << 3))
     run = last[last > 0]
     cut[run[pair[run - 1] == (_GAP << 3 | _GAP)]] = True
     last = last[raw[last] != ord(" ")]
