@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm.tables import columns_ddl, read
+from relayframe.llm.tables import columns_ddl, lean, read
 
 MIN_WORDS, MIN_COVERAGE = 5, 0.8
 #: Items that a task holds at a time; more are taken in blocks of about as many.
@@ -210,14 +210,14 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE)
     with null.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return reduce(DataFrame.unionByName, [rows.mapInArrow(_finder(block, least), _FOUND)
+    return reduce(DataFrame.unionByName, [rows.mapInArrow(lean(_finder(block, least)), _FOUND)
                                           for block in _blocks(items)]).distinct()
 
 
 def without_tests(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE) -> DataFrame:
     """The rows of ``docs`` that hold no item as ``contaminated`` finds them, with all columns."""
     for block in _blocks(items):
-        docs = docs.mapInArrow(_cleaner(block, least), columns_ddl(docs))
+        docs = docs.mapInArrow(lean(_cleaner(block, least)), columns_ddl(docs))
     return docs
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm.tables import columns_ddl, read
+from relayframe.llm.tables import columns_ddl, lean, read
 
 #: Starts of the code point ranges that belong to one script each; 0 is any other.
 SCRIPTS = [(0x0041, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -137,7 +137,7 @@ def learn(labelled: DataFrame) -> Model:
     Counting is distributed; the driver gets at most ``SLOTS + N_SCRIPTS`` counters a language.
     """
     rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = (rows.mapInArrow(_learn, "lang string, slot int, n long")
+    counts = (rows.mapInArrow(lean(_learn), "lang string, slot int, n long")
               .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(counts["lang"].unique())
     table = np.zeros((SLOTS + N_SCRIPTS, len(langs)))
@@ -263,7 +263,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     rows = docs.drop("lang_pred", "score", "spans")
     ddl = "lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
-    return rows.mapInArrow(_predictor(model), f"{columns_ddl(rows)}, {ddl}")
+    return rows.mapInArrow(lean(_predictor(model)), f"{columns_ddl(rows)}, {ddl}")
 
 
 def bar(labelled: DataFrame, model: Model) -> float:

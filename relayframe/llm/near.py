@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from relayframe.llm import shingles as sh
 from relayframe.llm.components import components
-from relayframe.llm.tables import fresh, read
+from relayframe.llm.tables import fresh, lean, read
 from relayframe.session import cut_lineage
 
 #: Coordinates in a band, and in a sketch, all of which count when candidates are compared.
@@ -86,7 +86,7 @@ def verify_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: in
     texts = wanted.join(docs.select("doc_id", "text"), "doc_id").select("key", "a", "b", "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts.repartition(n, "key").sortWithinPartitions("key", F.asc_nulls_first("b"))
-    return rows.mapInArrow(_verifier(size, percent), "u binary, v binary").distinct()
+    return rows.mapInArrow(lean(_verifier(size, percent)), "u binary, v binary").distinct()
 
 
 def _alike(a: str, b: str, percent: int, words: int) -> Column:
@@ -113,7 +113,7 @@ def near_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     bands = sh.bands_needed(percent / 100, ROWS)
     words = max(COORDINATES, bands * ROWS) // 32
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = cut_lineage(rows.mapInArrow(_sketcher(size, bands), _SKETCH), "sketches")
+    sketched = cut_lineage(rows.mapInArrow(lean(_sketcher(size, bands)), _SKETCH), "sketches")
     sets = sketched.where("n_shingles > 0")
     classes = cut_lineage(sets.where("doc_id IS NOT NULL").dropDuplicates(["digest"]), "classes")
     banded = classes.select("digest", F.explode("bands").alias("band"))

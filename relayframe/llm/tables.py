@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,22 @@ def columns_ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
+def lean(task: Callable) -> Callable:
+    """``task``, a map over Arrow batches, that gives its unused memory back to the system when it ends.
+
+    Spark keeps Python workers for later tasks; what Arrow and the C library hold on to after one task
+    would stand beside all that an executor does next.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
+
+    return run
+
+
 def fresh(rows: DataFrame, name: str) -> str:
     """``name``, or one like it that is no column of ``rows``."""
     taken = {c.lower() for c in rows.columns}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relayframe.llm import huffman
-from relayframe.llm.tables import read
+from relayframe.llm.tables import lean, read
 from relayframe.session import work_path
 
 END_ID = 2
@@ -395,7 +395,7 @@ def tokenize(docs: DataFrame, content: str, end_id: int = END_ID) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(_encoder(content, end_id), "part int, seq long, doc_id long, ids binary, counts binary")
+    return ordered.mapInArrow(lean(_encoder(content, end_id)), "part int, seq long, doc_id long, ids binary, counts binary")
 
 
 def _values(column: pa.BinaryArray) -> np.ndarray:
@@ -422,7 +422,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def id_counts(tokens: DataFrame) -> np.ndarray:
     """How often each id occurs. At most one row for each id of the vocabulary reaches the driver."""
-    rows = (tokens.where("counts IS NOT NULL").select("counts").mapInArrow(_count, "id long, n long")
+    rows = (tokens.where("counts IS NOT NULL").select("counts").mapInArrow(lean(_count), "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, np.int64)
     counts[rows["id"].to_numpy(int)] = rows["n"].to_numpy(int)
@@ -483,7 +483,7 @@ def write_token_files(docs: DataFrame, path: str, content: str, end_id: int = EN
     code = [(i, int(x)) for i, x in enumerate(lengths) if x]
     spark.createDataFrame(code, "id long, length int").coalesce(1).write.parquet(f"{path}/codes")
     rows = tokens.where("seq IS NOT NULL").drop("counts")
-    rows.mapInArrow(_packer(lengths), _BLOCK_DDL).write.parquet(f"{path}/blocks")
+    rows.mapInArrow(lean(_packer(lengths)), _BLOCK_DDL).write.parquet(f"{path}/blocks")
 
 
 def read_code(spark: SparkSession, path: str) -> np.ndarray:
@@ -524,7 +524,7 @@ def read_token_files(spark: SparkSession, path: str, ids: bool = True) -> DataFr
     """
     blocks = spark.read.schema(_BLOCK_DDL).parquet(f"{path}/blocks")
     ddl = "part int, first long, doc_id long, before long, n_tokens long, ids_crc32 long"
-    docs = blocks.mapInArrow(_unpacker(read_code(spark, path), ids), ddl + ", ids binary" * ids)
+    docs = blocks.mapInArrow(lean(_unpacker(read_code(spark, path), ids)), ddl + ", ids binary" * ids)
     before = (Window.unboundedPreceding, -1)
     heads = blocks.select("part", "first", "n_ids")
     parts = heads.groupBy("part").agg(F.sum("n_ids").alias("n")).select(

@@ -1,4 +1,7 @@
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -170,3 +173,43 @@ def test_tasks_count_their_ids(spark):
     ids = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in tokens.where("ids IS NOT NULL").collect()])
     counts = tf.id_counts(tokens)
     assert counts.tolist() == np.bincount(ids).tolist() and counts.sum() == len(ids)
+
+
+LEFT = """
+import gc, re
+from types import SimpleNamespace as Named
+import numpy as np, pyarrow as pa, public_tokenizers
+from relayframe.llm import token_files as tf
+
+class Docs:
+    sparkSession = Named(conf=Named(get=lambda key: "4"))
+    select = repartitionByRange = sortWithinPartitions = lambda self, *columns: self
+    mapInArrow = lambda self, task, ddl: task
+
+def held():
+    gc.collect()
+    return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) // 1024
+
+tf.F = Named(col=lambda name: Named(cast=lambda kind: Named(alias=lambda name: None)))
+tf.TaskContext = Named(get=lambda: Named(partitionId=lambda: 0))
+task = tf.tokenize(Docs(), tf.tokenizer_json(public_tokenizers.path("byte_bpe_50k.json")))
+rng, rows = np.random.default_rng(1), 0
+
+def batch():
+    texts = [" ".join(map(str.lower, map(hex, rng.integers(0, 1 << 20, 400)))) for _ in range(5000)]
+    return pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(texts)], ["doc_id", "text"])
+
+for found in task(batch() for _ in range(2)):
+    rows += found.num_rows
+del found
+left = held()
+for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+    pool.release_unused()
+print(rows, left - held())
+"""
+
+
+def test_a_task_leaves_its_worker_no_unused_memory():
+    out = subprocess.run([sys.executable, "-c", LEFT], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True)
+    rows, unused = map(int, out.stdout.split())
+    assert rows == 10_001 and unused < 40
